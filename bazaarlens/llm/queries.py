@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import packing, rank_summary, reading, tokens
+from bazaarlens.llm import packing, pii, rank_summary, reading, residue, tokens
 from bazaarlens.sources.tables import table
 
 #: Percentiles that the price queries report.
@@ -30,6 +30,33 @@ def p1_model_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     return rank_summary.percentiles(rank_summary.combine(by_day, ["model"]), ["model"], PRICE_PERCENTILES)
 
 
+def p5_residue(spark: SparkSession, folder: str) -> DataFrame:
+    """Residue in titles and descriptions with its kind and evidence."""
+    rows = table(spark, folder, "raw_listings", "listing_row", "title", "description", "listing_url")
+    return residue.flag_fields(rows, "listing_row", "title", "description", "listing_url")
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields that hold residue."""
+    return p5_residue(spark, folder).select("listing_row", "field_name").distinct()
+
+
+def p5_clean_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of raw_listings without residue."""
+    return residue.exclude(table(spark, folder, "raw_listings"), "listing_row", "title", "description", "listing_url")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Kinds of personal data in descriptions and locations."""
+    rows = table(spark, folder, "raw_listings", "listing_row", "description", "location")
+    return pii.find_kinds(rows, "listing_row", ["description", "location"])
+
+
+def p6_masked(spark: SparkSession, folder: str) -> DataFrame:
+    """raw_listings with placeholders in place of personal data."""
+    return pii.mask_fields(table(spark, folder, "raw_listings"), ["description", "location"])
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode_column(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
