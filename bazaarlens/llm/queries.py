@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import packing, pii, rank_summary, reading, residue, tokens
+from bazaarlens.llm import packing, pii, rank_summary, reading, residue, tokens, truth
 from bazaarlens.sources.tables import table
 
 #: Percentiles that the price queries report.
@@ -30,6 +30,34 @@ def p1_model_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     return rank_summary.percentiles(rank_summary.combine(by_day, ["model"]), ["model"], PRICE_PERCENTILES)
 
 
+#: Which captures win each field of an advertisement.
+CAPTURE_RULES = {
+    "battery_health": truth.Rule(latest=True, low=40, high=100),
+    "price": truth.Rule(latest=True),
+    "title": truth.Rule(),
+    "model": truth.Rule(),
+    "storage_gb": truth.Rule(low=1, high=1_000_000),
+    "condition": truth.Rule(),
+    "location": truth.Rule(),
+}
+
+
+def _captures(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "raw_listings", "listing_row", "item_id", "listing_url", "scraped_at", *CAPTURE_RULES)
+    return truth.discover(rows, truth.item_number(F.col("item_id"), F.col("listing_url")), "listing_row", truth.capture_time(F.col("scraped_at")), truth.host(F.col("listing_url")), CAPTURE_RULES)
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The capture that gives each advertisement's surviving battery health."""
+    found = _captures(spark, folder).where(F.col("field") == "battery_health")
+    return found.select(F.col("group_key").alias("item_id"), F.col("row_id").alias("listing_row"))
+
+
+def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
+    """One record for each advertisement that was captured more than once."""
+    return truth.survivors(_captures(spark, folder), list(CAPTURE_RULES)).withColumnRenamed("group_key", "item_id")
+
+
 def p5_residue(spark: SparkSession, folder: str) -> DataFrame:
     """Residue in titles and descriptions with its kind and evidence."""
     rows = table(spark, folder, "raw_listings", "listing_row", "title", "description", "listing_url")
