@@ -1,2 +1,17 @@
-def queries():
-    return {}
+"""Queries of the core operators; each takes (spark, folder of tables)."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from bazaarlens.plans import fill_queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {
+        "p4_found": fill_queries.p4_found,
+        "p4_filled_clean": fill_queries.filled_clean,
+        "p4_filled_raw": fill_queries.filled_raw,
+    }

@@ -1 +1,7 @@
-SQL: dict[str, str] = {}
+"""SQL equivalents of the core queries, for the independent check."""
+
+from __future__ import annotations
+
+from bazaarlens.plans.fill_queries import P4_SQL
+
+SQL: dict[str, str] = {**P4_SQL}
