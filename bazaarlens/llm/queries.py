@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import packing, pii, rank_summary, reading, residue, tokens, truth
+from bazaarlens.llm import gazetteer, packing, pii, rank_summary, reading, residue, tokens, truth
+from bazaarlens.session import small_side
 from bazaarlens.sources.tables import table
 
 #: Percentiles that the price queries report.
@@ -58,6 +59,26 @@ def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return truth.survivors(_captures(spark, folder), list(CAPTURE_RULES)).withColumnRenamed("group_key", "item_id")
 
 
+def _mapped_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """table_name, row_key, typed, region_id of every value that is not an entry as it stands."""
+    listed = table(spark, folder, "region_list")
+    entries = gazetteer.load_entries(listed, "region_id", "region_name", "known_aliases")
+    raw = table(spark, folder, "raw_listings", "listing_row", "location").select(F.lit("raw_listings").alias("table_name"), F.col("listing_row").cast("string").alias("row_key"), F.col("location").alias("typed"), F.substring_index("location", ",", 1).alias("_head"))
+    clean = table(spark, folder, "clean_listings", "item_id", "region").select(F.lit("clean_listings").alias("table_name"), F.col("item_id").alias("row_key"), F.col("region").alias("typed"), F.col("region").alias("_head"))
+    open_values = raw.unionByName(clean).where(F.col("typed").rlike(r"(?U)\S")).join(small_side(listed.select(F.col("region_name").alias("_head"))), "_head", "left_anti")
+    return open_values.select("table_name", "row_key", "typed", gazetteer.map_to_list(F.col("typed"), entries).alias("region_id"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The region that each freely typed location or region means."""
+    return _mapped_regions(spark, folder).select("table_name", "row_key", "region_id")
+
+
+def p3_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed values that mean no region of the list, with their rows."""
+    return gazetteer.unmatched_report(_mapped_regions(spark, folder), "typed", "region_id")
+
+
 def p5_residue(spark: SparkSession, folder: str) -> DataFrame:
     """Residue in titles and descriptions with its kind and evidence."""
     rows = table(spark, folder, "raw_listings", "listing_row", "title", "description", "listing_url")
