@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import gazetteer, packing, pii, rank_summary, reading, residue, tokens, truth
+from bazaarlens.llm import gazetteer, packing, pii, products, rank_summary, reading, residue, tokens, truth
 from bazaarlens.session import small_side
 from bazaarlens.sources.tables import table
 
@@ -106,6 +106,25 @@ def p6_masked(spark: SparkSession, folder: str) -> DataFrame:
     return pii.mask_fields(table(spark, folder, "raw_listings"), ["description", "location"])
 
 
+def _offers(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "dealer_offers", "offer_id", "title", "description", "params")
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of offers of the same product."""
+    return products.pairs_of_groups(products.group_offers(_offers(spark, folder), "offer_id"))
+
+
+def p7_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """The product of every offer."""
+    return products.group_offers(_offers(spark, folder), "offer_id").withColumnRenamed("offer", "offer_id")
+
+
+def p7_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """Recall of the index against exact search."""
+    return products.recall_report(_offers(spark, folder), "offer_id")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode_column(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
