@@ -5,12 +5,278 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from bazaarlens.functions import scalars as S
+from bazaarlens.functions import text as X
+from bazaarlens.operators import features as E
+from bazaarlens.operators.forest import isolation_outliers
+from bazaarlens.operators.models import BoostedTrees, LogLinear, cross_validate
+from bazaarlens.operators.rules import apply_rules, drop_repeats, drop_report, first_of, not_seen
+from bazaarlens.operators.stats import far_below_median, fill_group_median, group_statistics, outside_fence
 from bazaarlens.plans import fill_queries
+from bazaarlens.plans.clean import Settings, clean, read_attributes
+from bazaarlens.sources import html
+from bazaarlens.sources.catalog import catalog, offered, storage_set, with_model
+from bazaarlens.sources.synthetic import synthetic_listings
+from bazaarlens.sources.tables import table
+
+
+def hier_iqr_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices outside the fence of the finest group that is large enough."""
+    rows = table(spark, folder, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice").withColumn("log_price", F.log("l_extendedprice"))
+    levels = [("l_partkey", "l_returnflag", "l_linestatus"), ("l_partkey", "l_returnflag"), ("l_partkey",)]
+    found = group_statistics(rows, F.col("log_price"), levels, 10)
+    return found.where(outside_fence(F.col("log_price"), 1.0)).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "stat_level", "stat_n", F.round("stat_median", 6).alias("stat_median"))
+
+
+def group_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows by the level that supplies their statistics; level -1 has none."""
+    rows = table(spark, folder, "clean_listings", "model", "storage_gb", "condition", "price").where("price > 0")
+    found = group_statistics(rows, F.log("price"), [("model", "storage_gb", "condition"), ("model", "condition"), ("model",)], 10)
+    return found.groupBy(F.coalesce("stat_level", F.lit(-1)).alias("stat_level")).agg(F.count("*").alias("n"), F.round(F.avg("stat_median"), 6).alias("mean_median"), F.sum("stat_n").alias("sum_n"))
+
+
+def cheap_vs_group_median(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders under 0.3 of the geometric median of their comparable orders."""
+    rows = table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice").join(table(spark, folder, "customer", "c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey")).withColumn("log_price", F.log("o_totalprice"))
+    found = group_statistics(rows, F.col("log_price"), [("c_mktsegment", "o_orderpriority"), ("c_mktsegment",)], 10)
+    return found.where(far_below_median(F.col("log_price"), 0.3)).select("o_orderkey", "o_totalprice", "c_mktsegment", "o_orderpriority", F.round(F.exp("stat_median"), 2).alias("usual"))
+
+
+def rule_cascade_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows dropped by each of several ordered rules; a row counts under its first."""
+    rows = table(spark, folder, "orders", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate")
+    rules = [("not_final", F.col("o_orderstatus") != "F"), ("low_price", F.col("o_totalprice") < 20_000), ("high_price", F.col("o_totalprice") > 400_000), ("urgent", F.col("o_orderpriority").startswith("1")), ("late", F.col("o_orderdate") >= "1998-01-01")]
+    return drop_report(apply_rules(rows, rules), [r[0] for r in rules])
+
+
+def impute_group_median(spark: SparkSession, folder: str) -> DataFrame:
+    """Event values taken away by rule and filled from the median of their type."""
+    rows = table(spark, folder, "events", "event_id", "event_type", "value").withColumn("value", F.when(F.col("event_id") % 7 != 0, F.col("value")).cast("bigint"))
+    return fill_group_median(rows, "value", "event_type", F.lit(True), 90.0)
+
+
+def dedup_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeats by number, then by address, then by content, each among the survivors of the former."""
+    rows = table(spark, folder, "raw_listings", "listing_row", "item_id", "listing_url", "title", "price").withColumn("drop_reason", F.lit(None).cast("string"))
+    c = F.col
+    stages = [("item_id", [F.trim("item_id")], F.trim("item_id") != ""), ("listing_url", [F.trim("listing_url")], F.trim("listing_url") != ""), ("content", [c("title"), c("price")], F.length("title") >= 10)]
+    return drop_repeats(rows, "listing_row", stages).select("listing_row", "drop_reason")
+
+
+def content_fingerprint_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """First row of each description fingerprint of 30 characters or more."""
+    rows = table(spark, folder, "raw_listings", "listing_row", "description").withColumn("print", X.fingerprint(F.col("description"))).where(F.length("print") >= 30)
+    return rows.groupBy("print").agg(F.min("listing_row").alias("listing_row"), F.count("*").alias("copies"))
+
+
+def normalize_text(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "raw_listings", "listing_row", "title", "description").select("listing_row", X.normalize(F.col("title")).alias("title"), F.md5(X.normalize(F.col("description"))).alias("description_md5"))
+
+
+def json_params_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Attributes read from the JSON of a listing, by exact key, then by part of a key."""
+    p = S.params_map(F.col("params"))
+    rows = table(spark, folder, "raw_listings", "listing_row", "params").select("listing_row", p.alias("p"))
+    return rows.select("listing_row", S.find_param(F.col("p"), ["модель"], X.normalize).alias("model"), S.find_param(F.col("p"), ["память"], X.normalize).alias("memory"), F.size("p").alias("keys"))
+
+
+def url_canonical(spark: SparkSession, folder: str) -> DataFrame:
+    u = F.col("listing_url")
+    return table(spark, folder, "raw_listings", "listing_row", "listing_url").where("listing_url is not null").select("listing_row", S.canonical_url(u).alias("url"), S.url_tail_number(u).alias("tail"), S.url_origin(u, "https://board.example").alias("origin"), S.page_url(u, F.lit(3)).alias("page_3"))
+
+
+def _pages(spark: SparkSession, folder: str) -> DataFrame:
+    c = table(spark, folder, "customer", "c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    page = F.concat(
+        F.lit('<html><head><title>x</title></head><body><h1 data-marker="item-view/title-info">  '), "c_name", F.lit('</h1><span itemprop="price" content="'), F.abs(F.col("c_acctbal")).cast("bigint").cast("string"),
+        F.lit('">-</span><div itemprop="description"><p>a<br>'), "c_mktsegment", F.lit('</p></div><ul class="params-paramsList-1"><li>Key: '), "c_mktsegment", F.lit("</li><li>Key: second</li></ul></body></html>"),
+    )
+    return c.select(F.col("c_custkey").alias("page_id"), page.alias("html"))
+
+
+def html_item_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields of captured item pages."""
+    found = html.item_details(_pages(spark, folder))
+    return found.select("page_id", "title", F.coalesce("price", F.lit(0)).alias("price"), "description", F.col("params")["Key"].alias("key"), "is_block")
+
+
+def html_search_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Cards of captured search pages, the first of each id."""
+    card = F.concat(F.lit('<div data-marker="item"><a data-marker="item-title" href="/x_'), (F.col("s_suppkey") + 1_000_000).cast("string"), F.lit('?c=1">'), "s_name", F.lit('</a><p data-marker="item-price">1 000 ₽</p></div>'))
+    pages = table(spark, folder, "supplier", "s_suppkey", "s_nationkey", "s_name").groupBy(F.col("s_nationkey").alias("page_id")).agg(F.concat_ws("", F.sort_array(F.collect_list(card))).alias("cards"))
+    pages = pages.select("page_id", F.concat(F.lit("<body>"), "cards", "cards", F.lit('<a rel="next" href="?p=2">next</a></body>')).alias("html"))
+    return html.search_cards(pages, "https://board.example").select("page_id", "has_next", "item_id", "url", "title", "price")
+
+
+def months_elapsed(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole months between order and shipment."""
+    rows = table(spark, folder, "lineitem", "l_orderkey", "l_shipdate").join(table(spark, folder, "orders", "o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return rows.groupBy(S.whole_months(F.col("o_orderdate"), F.col("l_shipdate")).alias("months")).agg(F.count("*").alias("n"))
+
+
+def catalog_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Listings by tier and release year of their model, case and blanks aside."""
+    found = with_model(table(spark, folder, "clean_listings", "model"), table(spark, folder, "phone_catalog"))
+    return found.groupBy(F.coalesce("tier", F.lit(E.OTHER)).alias("tier"), F.year("release_date").alias("year")).agg(F.count("*").alias("n"))
+
+
+def option_membership(spark: SparkSession, folder: str) -> DataFrame:
+    """Listings by model, whether it offers their storage, and the storage's place among the options."""
+    found = with_model(table(spark, folder, "clean_listings", "model", "storage_gb"), table(spark, folder, "phone_catalog"))
+    gb = F.col("storage_gb").cast("int")
+    rows = found.where("storage_gb is not null and storage_options is not null")
+    return rows.groupBy("model", offered(gb).alias("offered"), (F.array_position("storage_options", gb) - 1).alias("step")).agg(F.count("*").alias("n"))
+
+
+def catalog_storages(spark: SparkSession, folder: str) -> DataFrame:
+    """The set of all storage options and their labels."""
+    sizes = table(spark, folder, "phone_catalog").agg(storage_set(None).alias("s")).select(F.explode("s").alias("storage_gb"))
+    return sizes.select("storage_gb", S.storage_label(F.col("storage_gb")).alias("label"))
+
+
+def builtin_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """Models of the table that the built-in catalogue has with the same date and options."""
+    own = catalog(spark).select("name", "tier", "release_date", "storage_options")
+    return table(spark, folder, "phone_catalog", "name", "tier", "release_date", "storage_options").intersect(own).select("name")
+
+
+def resume_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of unseen users: one row for each, against those already stored."""
+    rows = table(spark, folder, "events", "event_id", "user_id").withColumn("user", F.col("user_id").cast("string"))
+    new = first_of(rows.where("event_id % 2 = 0").select("user", "event_id"), ["user"], ["event_id"])
+    return not_seen(new, rows.where("event_id % 97 = 1"), "user").select("user", "event_id")
+
+
+def first_capture(spark: SparkSession, folder: str) -> DataFrame:
+    """The first capture of each address."""
+    rows = table(spark, folder, "raw_listings", "listing_row", "listing_url", "title").where("listing_url is not null")
+    return first_of(rows, ["listing_url"], ["listing_row"])
+
+
+def frequent_categories(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers by nation, nations under 1/25 of all customers folded into one."""
+    rows = table(spark, folder, "customer", "c_custkey", "c_nationkey").join(table(spark, folder, "nation", "n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+    least = rows.count() // 25
+    return E.fold_rare(rows, "n_name", E.frequent_values(rows, "n_name", least)).groupBy("n_name").agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
+
+
+def default_category(spark: SparkSession, folder: str) -> DataFrame:
+    """The most frequent region of listings, ties to the first in order."""
+    return spark.createDataFrame([(E.most_frequent(table(spark, folder, "clean_listings", "region"), "region"),)], "region string")
+
+
+def value_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return E.frequent_values(table(spark, folder, "clean_listings", "region"), "region", 10)
+
+
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice").join(table(spark, folder, "part", "p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+    return rows.select(E.fold_of(F.col("l_orderkey"), 5).alias("fold"), F.col("l_extendedprice").alias("y"), (F.col("p_retailprice") * F.col("l_quantity")).alias("a"), (F.col("l_quantity") * 1500).alias("b"))
+
+
+def regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder).agg(*[F.round(m, 4).alias(n) for m, n in zip(E.regression_metrics(F.col("y"), F.col("a")), ("rmse", "mae", "mape"), strict=True)])
+
+
+def fold_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    found = E.fold_metrics(_scored(spark, folder).withColumnRenamed("a", "y_hat"))
+    return found.select("fold", "n", *[F.round(m, 4).alias(m) for m in ("rmse", "mae", "mape")])
+
+
+def model_selection(spark: SparkSession, folder: str) -> DataFrame:
+    """The better of two estimates by mean MAPE over folds."""
+    rows = _scored(spark, folder)
+    both = rows.select("fold", "y", F.explode(F.array(F.struct(F.lit(0).alias("ordinal"), F.col("a").alias("y_hat")), F.struct(F.lit(1).alias("ordinal"), F.col("b").alias("y_hat")))).alias("m")).select("fold", "y", "m.*")
+    summary = E.metric_summary(E.fold_metrics(both, ["fold", "ordinal"]), ["ordinal"])
+    return E.best_model(summary).select("ordinal", F.round("mape_mean", 3).alias("mape_mean"))
+
+
+def delta_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items by the class of their deviation from the list price."""
+    d = S.percent_delta(F.col("y"), F.col("a"))
+    return _scored(spark, folder).groupBy(S.classify_delta(d, 10).alias("verdict")).agg(F.count("*").alias("n"), F.round(F.avg(S.half_even(F.col("y"), 500)), 3).alias("mean_rounded"))
+
+
+def prices_read(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "raw_listings", "listing_row", "price").select("listing_row", X.price(F.col("price")).alias("price"))
+
+
+def regions_read(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "raw_listings", "listing_row", "location").select("listing_row", X.region(F.col("location")).alias("region"))
+
+
+def numbers_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers and bounded values of listings."""
+    b = S.as_whole(F.col("battery_health"))
+    return table(spark, folder, "raw_listings", "listing_row", "battery_health", "item_id").select("listing_row", S.within(b, 40, 100).alias("battery"), S.as_whole(F.col("item_id")).alias("number"))
+
+
+def features_of_listings(spark: SparkSession, folder: str) -> DataFrame:
+    return E.feature_frame(table(spark, folder, "clean_listings"), table(spark, folder, "phone_catalog"), ["item_id"])
+
+
+def negated_keyword_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Wording of box, receipt and instalments in descriptions, negations seen."""
+    t = X.normalize(F.col("description"))
+    return table(spark, folder, "raw_listings", "listing_row", "description").select("listing_row", X.unnegated(t, X.BOX).alias("box"), X.unnegated(t, X.RECEIPT).alias("receipt"), X.unnegated(t, X.INSTALLMENT).alias("instalment"))
+
+
+def junk_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "raw_listings", "listing_row", "title", "description").select("listing_row", X.junk_reason(F.col("title"), F.col("description")).alias("junk_reason"))
+
+
+def attributes_read(spark: SparkSession, folder: str) -> DataFrame:
+    return read_attributes(table(spark, folder, "raw_listings"), "listing_row")
+
+
+def clean_listings_e2e(spark: SparkSession, folder: str) -> DataFrame:
+    return clean(table(spark, folder, "raw_listings"), table(spark, folder, "phone_catalog"), Settings(), "listing_row")[0]
+
+
+def cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
+    return clean(table(spark, folder, "raw_listings"), table(spark, folder, "phone_catalog"), Settings(), "listing_row")[1]
+
+
+def _training(spark: SparkSession, folder: str) -> DataFrame:
+    rows = E.training_rows(table(spark, folder, "clean_listings").where("battery_health between 40 and 100 and battery_known in (0, 1)"))
+    return E.feature_frame(rows, table(spark, folder, "phone_catalog"), ["item_id", "price"])
+
+
+def monotone_price_model(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _training(spark, folder)
+    return LogLinear().fit(rows).predict(rows).select("item_id", "price", "y_hat")
+
+
+def gbt_price_model(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _training(spark, folder)
+    return BoostedTrees(iterations=8).fit(rows).predict(rows).select("item_id", "price", "y_hat")
+
+
+def cross_validated_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of the monotone model by fold."""
+    return cross_validate(LogLinear, _training(spark, folder), "item_id", 3)[0]
+
+
+def isolation_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Lonely listings by price, storage and age."""
+    rows = table(spark, folder, "clean_listings", "item_id", "price", "storage_gb", "battery_health", "phone_age_months")
+    return isolation_outliers(rows.withColumn("log_price", F.log("price")), ["log_price", "storage_gb", "phone_age_months"], "item_id", trees=50).where("is_outlier").select("item_id", "anomaly_score")
+
+
+def synthetic(spark: SparkSession, folder: str) -> DataFrame:
+    return synthetic_listings(spark, 3000, 42)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = (
+        hier_iqr_outliers, group_levels, cheap_vs_group_median, rule_cascade_report, impute_group_median, dedup_cascade, content_fingerprint_dedup, normalize_text, json_params_lookup, url_canonical, html_item_pages, html_search_pages, months_elapsed,
+        catalog_lookup, option_membership, catalog_storages, builtin_catalog, resume_append, first_capture, frequent_categories, default_category, value_counts, regression_metrics, fold_metrics, model_selection, delta_classes, prices_read, regions_read,
+        numbers_read, features_of_listings, negated_keyword_flags, junk_reasons, attributes_read, clean_listings_e2e, cleaning_report, monotone_price_model, gbt_price_model, cross_validated_model, isolation_forest,
+    )
+    return {f.__name__: f for f in own} | {
+        "synthetic_listings": synthetic,
         "p4_found": fill_queries.p4_found,
         "p4_filled_clean": fill_queries.filled_clean,
         "p4_filled_raw": fill_queries.filled_raw,
