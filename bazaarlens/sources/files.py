@@ -9,11 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RAW_SCHEMA = T.StructType.fromDDL(
-    "item_id string, listing_url string, title string, model string, storage_gb string, condition string, battery_health string, price string, description string, location string, params string, scraped_at string"
-)
+_KINDS = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType()}
+
+
+def _schema(fields: str) -> T.StructType:
+    """A schema from 'name kind' pairs, without a session."""
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in (f.split() for f in fields.split(","))])
+
+
+RAW_SCHEMA = _schema("item_id string, listing_url string, title string, model string, storage_gb string, condition string, battery_health string, price string, description string, location string, params string, scraped_at string")
 RAW_COLUMNS = RAW_SCHEMA.fieldNames()
-CLEAN_SCHEMA = T.StructType.fromDDL(
+CLEAN_SCHEMA = _schema(
     "item_id string, listing_url string, title string, model string, storage_gb bigint, condition string, battery_health bigint, battery_known bigint, price bigint, location string, region string, has_box bigint, has_receipt bigint, "
     "release_year int, phone_age_months int, description string, scraped_at string"
 )
