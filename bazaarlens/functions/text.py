@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from bazaarlens.functions.scalars import strip
+from bazaarlens.functions.scalars import let, strip
 
 U = "(?U)"
 
@@ -97,35 +97,51 @@ def fingerprint(c: Column, chars: int = 200) -> Column:
 
 def match_spans(text: Column, pattern: str) -> Column:
     """Array of (start, length) of all matches, from the pieces between them; the pattern must not match nothing."""
-    pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    before = lambda i: F.length(F.array_join(F.slice(pieces, 1, i), "")) + F.coalesce(F.length(F.array_join(F.slice(found, 1, i - 1), "")), F.lit(0))
-    at = F.when(F.size(found) > 0, F.sequence(F.lit(1), F.size(found))).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.struct(before(i).alias("start"), F.length(F.element_at(found, i)).alias("length")))
+
+    def spans(both: Column) -> Column:
+        pieces, found = both["pieces"], both["found"]
+        before = lambda i: F.length(F.array_join(F.slice(pieces, 1, i), "")) + F.coalesce(F.length(F.array_join(F.slice(found, 1, i - 1), "")), F.lit(0))
+        at = F.when(F.size(found) > 0, F.sequence(F.lit(1), F.size(found))).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.struct(before(i).alias("start"), F.length(F.element_at(found, i)).alias("length")))
+
+    return let(F.struct(F.split(text, pattern, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")), spans)
 
 
 def unnegated(text: Column, pattern: str) -> Column:
     """True if a match of ``pattern`` in a normalised text is not negated within its clause."""
     pattern = U + pattern
 
-    def plain(span: Column) -> Column:
-        start, length = span["start"], span["length"]
-        left = F.substring(text, F.greatest(start - WINDOW + 1, F.lit(1)), F.least(start, F.lit(WINDOW)))
-        left = F.element_at(F.split(left, U + CLAUSE_BREAK, -1), -1)
-        right = F.element_at(F.split(F.substring(text, start + length + 1, F.lit(WINDOW)), U + CLAUSE_BREAK, 2), 1)
-        far = left.rlike(U + FAR_NEGATION) & ~F.regexp_extract(left, U + FAR_NEGATION, 1).rlike(U + AFFIRMATION)
-        return ~(left.rlike(U + NEAR_NEGATION) | far | right.rlike(U + POST_NEGATION))
+    def search(text: Column) -> Column:
+        def stands(span: Column) -> Column:
+            start, length = span["start"], span["length"]
+            left = F.substring(text, F.greatest(start - WINDOW + 1, F.lit(1)), F.least(start, F.lit(WINDOW)))
+            left = F.element_at(F.split(left, U + CLAUSE_BREAK, -1), -1)
+            right = F.element_at(F.split(F.substring(text, start + length + 1, F.lit(WINDOW)), U + CLAUSE_BREAK, 2), 1)
+
+            def plain(left: Column) -> Column:
+                far = left.rlike(U + FAR_NEGATION) & ~F.regexp_extract(left, U + FAR_NEGATION, 1).rlike(U + AFFIRMATION)
+                return ~(left.rlike(U + NEAR_NEGATION) | far | right.rlike(U + POST_NEGATION))
+
+            return let(left, plain)
+
+        return F.when(text.rlike(pattern), F.exists(match_spans(text, pattern), stands)).otherwise(F.lit(False))
 
-    return F.when(text.rlike(pattern), F.exists(match_spans(text, pattern), plain)).otherwise(F.lit(False))
+    return let(text, search)
 
 
 def junk_reason(title: Column, description: Column) -> Column:
     """First sign of junk: accessory or no offer by the title, then damage and fakes by the whole text."""
-    head = normalize(title)
-    text = strip(F.concat(head, F.lit("\n"), normalize(description)))
-    out = F.when(head.rlike(U + ACCESSORY_TITLE), "accessory").when(head.rlike(U + NOT_FOR_SALE_TITLE), "not_for_sale")
-    for reason, pattern in (("locked", LOCKED), ("water_damage", WATER), ("broken_screen", BROKEN_SCREEN), ("for_parts", FOR_PARTS), ("fake", FAKE)):
-        out = out.when(unnegated(text, pattern), reason)
-    return out
+
+    def by_text(text: Column) -> Column:
+        out = None
+        for reason, pattern in (("locked", LOCKED), ("water_damage", WATER), ("broken_screen", BROKEN_SCREEN), ("for_parts", FOR_PARTS), ("fake", FAKE)):
+            out = F.when(unnegated(text, pattern), reason) if out is None else out.when(unnegated(text, pattern), reason)
+        return out
+
+    def by_title(head: Column) -> Column:
+        return F.when(head.rlike(U + ACCESSORY_TITLE), "accessory").when(head.rlike(U + NOT_FOR_SALE_TITLE), "not_for_sale").otherwise(let(strip(F.concat(head, F.lit("\n"), normalize(description))), by_text))
+
+    return let(normalize(title), by_title)
 
 
 def damaged(text: Column) -> Column:
@@ -135,10 +151,19 @@ def damaged(text: Column) -> Column:
 
 def condition(param: Column, text: Column) -> Column:
     """Condition of a device from its attribute and its free text; signs of damage overrule the attribute."""
-    said, body = normalize(param), normalize(text)
-    by_param = F.lit(None).cast("string")
-    for value, pattern in reversed(PARAM_CONDITIONS):
-        by_param = F.when(said.rlike(U + pattern), value).otherwise(by_param)
+    def by_attribute(said: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for value, pattern in reversed(PARAM_CONDITIONS):
+            out = F.when(said.rlike(U + pattern), value).otherwise(out)
+        return out
+
+    def both(x: Column) -> Column:
+        return _condition(x["p"], x["t"])
+
+    return let(F.struct(let(normalize(param), by_attribute).alias("p"), normalize(text).alias("t")), both)
+
+
+def _condition(by_param: Column, body: Column) -> Column:
     return (
         F.when((by_param == "for_parts") | damaged(body), "for_parts")
         .when((by_param == "refurbished") | unnegated(body, REFURBISHED_TEXT), "refurbished")
@@ -151,7 +176,10 @@ def condition(param: Column, text: Column) -> Column:
 
 def storage_gb(text: Column, bare: bool = False) -> Column:
     """Capacity in GB: the first valid number with a unit; with ``bare`` also a number without one."""
-    t = normalize(text)
+    return let(normalize(text), lambda t: _storage(t, bare))
+
+
+def _storage(t: Column, bare: bool) -> Column:
     pairs = F.arrays_zip(F.regexp_extract_all(t, F.lit(U + STORAGE), F.lit(1)).alias("n"), F.regexp_extract_all(t, F.lit(U + STORAGE), F.lit(2)).alias("u"))
     tera = lambda p: p["u"].rlike("^[tт]")
     valid = F.filter(pairs, lambda p: F.when(tera(p), p["n"].isin("1", "2")).otherwise(p["n"].isin("64", "128", "256", "512", "1024")))
@@ -163,9 +191,11 @@ def storage_gb(text: Column, bare: bool = False) -> Column:
 
 def battery_percent(text: Column, low: int = 40, high: int = 100) -> Column:
     """Battery health next to a battery word; the first value in bounds, by pattern in order."""
-    t = normalize(text)
-    found = [F.get(F.filter(F.transform(F.regexp_extract_all(t, F.lit(U + p), F.lit(1)), lambda x: x.cast("int")), lambda v: v.between(low, high)), F.lit(0)) for p in BATTERY]
-    return F.coalesce(*found)
+    def first(t: Column, p: str) -> Column:
+        values = F.transform(F.regexp_extract_all(t, F.lit(U + p), F.lit(1)), lambda x: x.cast("int"))
+        return F.get(F.filter(values, lambda v: v.between(low, high)), F.lit(0))
+
+    return let(normalize(text), lambda t: F.coalesce(*[first(t, p) for p in BATTERY]))
 
 
 def model_name(text: Column, known: list[str], prefix: bool = True) -> Column:
@@ -173,6 +203,10 @@ def model_name(text: Column, known: list[str], prefix: bool = True) -> Column:
     t = normalize(text)
     for pattern, latin in MODEL_SPELLINGS:
         t = F.regexp_replace(t, U + pattern, latin)
+    return let(t, lambda t: _model(t, known, prefix))
+
+
+def _model(t: Column, known: list[str], prefix: bool) -> Column:
     grammar = F.lit(U + (PREFIXED_MODEL if prefix else BARE_MODEL))
     gen, e, variant, plus, se = (F.regexp_extract_all(t, grammar, F.lit(i)) for i in range(1, 6))
     parts = F.arrays_zip(gen.alias("g"), e.alias("e"), variant.alias("v"), plus.alias("p"), se.alias("s"))
