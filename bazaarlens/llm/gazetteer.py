@@ -43,7 +43,7 @@ TO_CYRILLIC = (
 NICKNAMES = {
     "Москва": "мск moscow msk москвабад", "Санкт-Петербург": "спб питер петербург spb с-пб с.-пб санкт-петер st-petersburg peter", "Московская область": "мо подмосковье мособласть мособл моск-обл", "Ленинградская область": "ло ленобласть ленобл лен-обл",
     "Екатеринбург": "екб екат ебург екатер yekaterinburg ekb свердловск", "Новосибирск": "нск новосиб сибирск nsk новосибирь", "Казань": "кзн kzn", "Краснодар": "крд кдр екатеринодар", "Нижний Новгород": "нн нино нижний н-новгород ннов nnov горький", "Ростов-на-Дону": "рнд ростов ростов-н-д ростов-на-д rostov-on-don rostov",
-    "Самара": "смр куйбышев", "Челябинск": "члб чел челяба челябик chel", "Омск": "омскград", "Уфа": "ufa", "Красноярск": "крск крас кр-ярск", "Воронеж": "врн vrn", "Пермь": "прм", "Волгоград": "влг волга волгогр сталинград vlg", "Саратов": "срт сарат", "Тюмень": "тмн",
+    "Самара": "смр куйбышев", "Челябинск": "члб чел челяба челябик chel", "Омск": "омскград", "Уфа": "ufa", "Красноярск": "крск кр-ярск", "Воронеж": "врн vrn", "Пермь": "прм", "Волгоград": "влг волга волгогр сталинград vlg", "Саратов": "срт сарат", "Тюмень": "тмн",
     "Тольятти": "тлт тольят togliatti tlt", "Ижевск": "ижик иж ижв", "Барнаул": "брн барнео", "Иркутск": "ирк", "Хабаровск": "хаб хабара хбр khv", "Ярославль": "ярик яр ярс yar", "Владивосток": "влад владик вдк vlad vvo", "Махачкала": "мах махач мхч", "Томск": "тмск",
     "Оренбург": "орен оренбуржье", "Кемерово": "кем кмр", "Рязань": "рзн", "Астрахань": "астра астр", "Набережные Челны": "челны наб-челны нч", "Пенза": "пнз", "Липецк": "лпк лип", "Калининград": "клд кениг кенигсберг кенинг клгд калинград", "Тула": "тульск", "Курск": "крск-обл", "Ставрополь": "ставр ставрик ств",
     "Сочи": "sochi", "Улан-Удэ": "уу улан-уде", "Тверь": "твр", "Магнитогорск": "магнитка магн мгн", "Иваново": "ив-во ивн", "Белгород": "белг бел", "Сургут": "сург сгт", "Чебоксары": "чебы чебок чбк", "Калуга": "клг", "Королёв": "korolyov", "Орёл": "orel oryol", "Череповец": "череп чрп", "Петрозаводск": "птз петрик",
