@@ -6,6 +6,9 @@ window logic runs only on rows that hold the wording at all.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,6 +60,20 @@ RECEIPT = r"\bчек(?:а|ом|и|ов|у)?\b|документ\w*|квитанц
 INSTALLMENT = (
     r"рассрочк\w*|кредит\w*|перв\w*\s+взнос\w*|первоначальн\w*\s+(?:взнос\w*|плат\w*)|ежемесячн\w*|/\s*мес(?:яц)?\b|в\s+месяц|аренд\w*|предоплат\w*|trade[\s-]?in|трейд[\s-]?ин|трейдин"
 )
+#: Of each vocabulary, letters of which some stand in every match; most texts hold none, and the pattern is not tried on them.
+HINTS = {
+    LOCKED: ("lock", "блок", "активац", "залочен", "привязан", "icloud", "айкла", "айкло", "apple", "забыл", "помн", "зна", "пропаж", "lost", "mdm", "bypass", "обход", "sim", "сим"),
+    FOR_PARTS: ("запчаст", "з/ч", "зч", "детал", "разбор", "донор", "parts", "ремонт", "включа", "загружа", "заряжа", "работа", "ловит", "видит", "сети", "отвал", "без", "сломан", "исправ", "broken"),
+    BROKEN_SCREEN: ("бит", "треснут", "трещин", "cracked", "полос", "пятн"),
+    WATER: ("утоп", "тонул", "вод", "влаг", "ванн", "унитаз", "море", "бассейн", "лужу", "залит", "water", "купал"),
+    FAKE: ("реплик", "replica", "муляж", "подделк", "fake", "копи", "оригинал"),
+    REFURBISHED_TEXT: ("восстановлен", "refurb", "реф", "cpo"),
+    NEW_TEXT: ("запечатан", "sealed", "распакован", "активирован", "brand"),
+    USED_TEXT: ("б", "пользовал", "использов"),
+    BOX: ("коробк", "комплект", "упаковк", "box", "full"),
+    RECEIPT: ("чек", "документ", "квитанци", "receipt", "талон"),
+    INSTALLMENT: ("рассрочк", "кредит", "взнос", "плат", "ежемесячн", "мес", "аренд", "trade", "трейд"),
+}
 # ---- Fixed values: measures in titles and descriptions.
 STORAGE = r"(?<![\d.,])(64|128|256|512|1024|1|2)\s*(гб|gb|гиг\w*|gig\w*|тб|tb|терабайт\w*|terabyte\w*|g|г)(?![a-zа-я])"
 BARE_STORAGE = r"(?<![\d.,])(64|128|256|512)(?![\d.,%])(?!\s+\d)(?!\s*(?:₽|руб|р\b|т\.?\s*р|тыс|k\b|к\b|мес|шт))"
@@ -109,7 +126,7 @@ def match_spans(text: Column, pattern: str) -> Column:
 
 def unnegated(text: Column, pattern: str) -> Column:
     """True if a match of ``pattern`` in a normalised text is not negated within its clause."""
-    pattern = U + pattern
+    hints, pattern = HINTS.get(pattern, ()), U + pattern
 
     def search(text: Column) -> Column:
         def stands(span: Column) -> Column:
@@ -124,7 +141,8 @@ def unnegated(text: Column, pattern: str) -> Column:
 
             return let(left, plain)
 
-        return F.when(text.rlike(pattern), F.exists(match_spans(text, pattern), stands)).otherwise(F.lit(False))
+        likely = reduce(or_, (text.contains(h) for h in hints)) if hints else F.lit(True)
+        return F.when(likely & text.rlike(pattern), F.exists(match_spans(text, pattern), stands)).otherwise(F.lit(False))
 
     return let(text, search)
 
@@ -164,13 +182,18 @@ def condition(param: Column, text: Column) -> Column:
 
 
 def _condition(by_param: Column, body: Column) -> Column:
+    return resolve_condition(by_param, damaged(body), unnegated(body, REFURBISHED_TEXT), unnegated(body, NEW_TEXT), unnegated(body, USED_TEXT))
+
+
+def resolve_condition(by_param: Column, hurt: Column, refurbished: Column, new: Column, used: Column) -> Column:
+    """The order in which an attribute and the signs of a text decide."""
     return (
-        F.when((by_param == "for_parts") | damaged(body), "for_parts")
-        .when((by_param == "refurbished") | unnegated(body, REFURBISHED_TEXT), "refurbished")
-        .when((by_param == "new") & unnegated(body, USED_TEXT), "used")
+        F.when((by_param == "for_parts") | hurt, "for_parts")
+        .when((by_param == "refurbished") | refurbished, "refurbished")
+        .when((by_param == "new") & used, "used")
         .when(by_param.isNotNull(), by_param)
-        .when(unnegated(body, NEW_TEXT), "new")
-        .when(unnegated(body, USED_TEXT), "used")
+        .when(new, "new")
+        .when(used, "used")
     )
 
 

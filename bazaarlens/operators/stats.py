@@ -58,8 +58,8 @@ def fill_group_median(df: DataFrame, field: str, group: str, reference: Column,
     known = df.where(reference & F.col(field).isNotNull())
     counted = known.groupBy(group, field).agg(F.count("*").alias("_n"))
     medians = counted.groupBy(group).agg(F.percentile(field, 0.5, F.col("_n")).alias("_median"))
-    overall = counted.agg(F.percentile(field, 0.5, F.col("_n")).alias("_overall"))
-    out = df.join(small_side(medians.withColumnRenamed(group, "_group")), df[group].eqNullSafe(F.col("_group")), "left").crossJoin(F.broadcast(overall))  # one row by construction
-    estimate = F.bround(F.coalesce(F.col("_median"), F.col("_overall"), F.lit(float(fallback))), 0)
+    overall = counted.agg(F.percentile(field, 0.5, F.col("_n"))).first()[0]  # one number
+    out = df.join(small_side(medians.withColumnRenamed(group, "_group")), df[group].eqNullSafe(F.col("_group")), "left")
+    estimate = F.bround(F.coalesce(F.col("_median"), F.lit(overall).cast("double"), F.lit(float(fallback))), 0)
     filled = F.coalesce(F.col(field).cast("double"), *([direct.cast("double")] if direct is not None else []), estimate).cast("bigint")
     return out.select(*[filled.alias(c) if c == field else F.col(c) for c in df.columns], F.col(field).isNotNull().cast("bigint").alias(f"{field}_known"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions import scalars as S
 from bazaarlens.functions import text as X
+from bazaarlens.functions.signs import condition, signs
 from bazaarlens.operators.forest import isolation_outliers
 from bazaarlens.operators.rules import apply_rules, drop_repeats, drop_report
 from bazaarlens.operators.stats import far_below_median, fill_group_median, group_statistics, outside_fence
@@ -57,17 +58,17 @@ def read_attributes(raw: DataFrame, order: str | None = None, default_condition:
     base = raw.select(*[col(c).alias(c) for c in RAW_COLUMNS], (F.col(order).cast("long") if order else F.monotonically_increasing_id()).alias("row"))
     known, params = names(), S.params_map(F.col("params"))
     base = base.withColumns({"p": params, "p_text": S.params_text(params), "title": S.as_text(F.col("title")), "description": S.as_text(F.col("description"))})
+    base = base.withColumn("signs", signs(F.col("title"), F.col("description")))
     p = F.col("p")
-    text = F.concat(F.col("title"), F.lit("\n"), F.col("description"))
+    found = F.col("signs")
     model = F.coalesce(X.model_name(F.col("model"), known, False), X.model_name(S.find_param(p, MODEL_KEYS, X.normalize), known, False), X.model_name(F.col("title"), known), X.model_name(F.col("description"), known))
     storage = F.coalesce(S.one_of(S.as_whole(F.col("storage_gb")), STORAGES).cast("int"), X.storage_gb(S.find_param(p, STORAGE_KEYS, X.normalize)), X.storage_gb(F.col("title"), True), X.storage_gb(F.col("description")))
     battery = F.coalesce(S.within(S.as_whole(F.col("battery_health")), 40, 100).cast("int"), X.battery_percent(F.col("p_text")), X.battery_percent(F.col("description")), X.battery_percent(F.col("title")))
     said = F.coalesce(S.blank_to_null(F.col("condition")), S.find_param(p, CONDITION_KEYS, X.normalize))
-    normal = X.normalize(text)
     return base.select(
         "row", S.as_text(F.col("item_id")).alias("item_id"), S.as_text(F.col("listing_url")).alias("listing_url"), "title", model.alias("model"), storage.cast("bigint").alias("storage_gb"),
-        F.coalesce(X.condition(said, text), F.lit(default_condition)).alias("condition"), battery.cast("bigint").alias("battery_health"), X.price(F.col("price")).alias("price"), S.as_text(F.col("location")).alias("location"), X.region(F.col("location")).alias("region"),
-        X.unnegated(normal, X.BOX).cast("bigint").alias("has_box"), X.unnegated(normal, X.RECEIPT).cast("bigint").alias("has_receipt"), X.unnegated(normal, X.INSTALLMENT).alias("installment"), X.junk_reason(F.col("title"), F.col("description")).alias("junk_reason"),
+        F.coalesce(condition(said, found), F.lit(default_condition)).alias("condition"), battery.cast("bigint").alias("battery_health"), X.price(F.col("price")).alias("price"), S.as_text(F.col("location")).alias("location"), X.region(F.col("location")).alias("region"),
+        found["box"].cast("bigint").alias("has_box"), found["receipt"].cast("bigint").alias("has_receipt"), found["installment"].alias("installment"), found["junk"].alias("junk_reason"),
         "description", S.as_text(F.col("scraped_at")).alias("scraped_at"),
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions import scalars as S
 from bazaarlens.functions import text as X
+from bazaarlens.functions.signs import signs
 from bazaarlens.operators import features as E
 from bazaarlens.operators.forest import isolation_outliers
 from bazaarlens.operators.models import BoostedTrees, LogLinear, cross_validate
@@ -218,13 +219,14 @@ def features_of_listings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def negated_keyword_flags(spark: SparkSession, folder: str) -> DataFrame:
-    """Wording of box, receipt and instalments in descriptions, negations seen."""
-    t = X.normalize(F.col("description"))
-    return table(spark, folder, "raw_listings", "listing_row", "description").select("listing_row", X.unnegated(t, X.BOX).alias("box"), X.unnegated(t, X.RECEIPT).alias("receipt"), X.unnegated(t, X.INSTALLMENT).alias("instalment"))
+    """Wording of box, receipt and instalments, negations seen."""
+    rows = table(spark, folder, "raw_listings", "listing_row", "title", "description").withColumn("s", signs(F.col("title"), F.col("description")))
+    return rows.select("listing_row", F.col("s.box").alias("box"), F.col("s.receipt").alias("receipt"), F.col("s.installment").alias("instalment"))
 
 
 def junk_reasons(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "raw_listings", "listing_row", "title", "description").select("listing_row", X.junk_reason(F.col("title"), F.col("description")).alias("junk_reason"))
+    rows = table(spark, folder, "raw_listings", "listing_row", "title", "description").withColumn("s", signs(F.col("title"), F.col("description")))
+    return rows.select("listing_row", F.col("s.junk").alias("junk_reason"))
 
 
 def attributes_read(spark: SparkSession, folder: str) -> DataFrame:

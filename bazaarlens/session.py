@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from pathlib import Path
 
@@ -37,12 +38,16 @@ def share_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; set a temporary one only where none is named."""
+    """Use the shared folder the session names; set a temporary one only where none is named and none is set."""
     sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isEmpty():
-        return
-    named = sc.getConf().get("spark.checkpoint.dir")
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="bazaarlens-checkpoint-"))
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    current = sc._jsc.sc().getCheckpointDir()
+    if named:
+        plain = re.sub(r"^file:/*", "/", named).rstrip("/")
+        if current.isEmpty() or plain not in re.sub(r"^file:/*", "/", current.get()):
+            sc.setCheckpointDir(named)
+    elif current.isEmpty():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="bazaarlens-checkpoint-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

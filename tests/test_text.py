@@ -90,3 +90,34 @@ def test_rounding_and_classes(spark):
 def test_first_wins_map(spark):
     row = spark.range(1).select(S.first_wins_map(F.array(F.struct(F.lit("a").alias("key"), F.lit("1").alias("value")), F.struct(F.lit("a").alias("key"), F.lit("2").alias("value")), F.struct(F.lit("b").alias("key"), F.lit("3").alias("value"))))).first()
     assert row[0] == {"a": "1", "b": "3"}
+
+
+def test_hints_stand_in_every_match(small):
+    import re
+
+    import pyarrow.parquet as pq
+
+    rows = pq.read_table(f"{small}/raw_listings.parquet", columns=["title", "description"]).to_pylist()
+    texts = [f"{r['title'] or ''}\n{r['description'] or ''}".lower().replace("ё", "е") for r in rows]
+    texts += [
+        "activation lock", "блокировка активации", "залочен на оператора", "привязан к чужому аккаунту", "айклауд заблокирован", "на айклоуд", "забыл пароль", "не помню код", "не знаю apple id", "режим пропажи", "lost mode", "mdm", "bypass", "обход активации", "r-sim", "рсим", "турбо сим", "sim lock",
+        "на запчасти", "на з/ч", "под разбор", "донор", "требует ремонта", "не включается", "не загружается", "не заряжается", "не работает", "не ловит сеть", "нет сети", "face id отвалился", "без face id", "без фейс айди", "сломан", "неисправен", "broken", "битый", "треснут", "в трещинах", "полосы на экране", "пятно на дисплее",
+        "утопленник", "тонул", "после влаги", "упал в воду", "уронил в унитаз", "был в море", "искупался", "купался", "залит", "water damage", "попал в бассейн", "падал в лужу", "реплика", "муляж", "подделка", "копия", "не оригинальный айфон", "реф", "cpo", "не распакован", "brand new", "б/у", "бу", "использовался", "пользовался", "в использовании",
+        "полный комплект", "родная упаковка", "full set", "чек", "документы", "гарантийный талон", "первый взнос", "первоначальный платеж", "/мес", "в месяц", "предоплата", "trade-in", "трейдин", "аренда",
+    ]
+    for pattern, hints in X.HINTS.items():
+        compiled = re.compile(pattern)
+        hit = [t for t in texts if compiled.search(t)]
+        assert hit and all(any(h in t for h in hints) for t in hit), pattern[:30]
+
+
+def test_both_forms_of_negation_agree(spark, small):
+    from bazaarlens.functions.signs import signs
+
+    rows = spark.read.parquet(f"{small}/raw_listings.parquet").select("title", "description").limit(300)
+    extra = spark.createDataFrame([("x", t) for t in ("не битый", "экран разбит, но корпус целый", "без коробки, есть чек", "коробки и чека нет", "🙂 утопленник", "не включается", "рассрочки нет")] + [(None, None)], "title string, description string")
+    rows = rows.unionByName(extra).withColumn("s", signs(F.col("title"), F.col("description")))
+    text = S.strip(F.concat(X.normalize(F.col("title")), F.lit("\n"), X.normalize(F.col("description"))))
+    native = {"box": X.BOX, "receipt": X.RECEIPT, "installment": X.INSTALLMENT, "broken_screen": X.BROKEN_SCREEN, "water_damage": X.WATER, "used": X.USED_TEXT}
+    differ = rows.where((X.junk_reason(F.col("title"), F.col("description")).eqNullSafe(F.col("s.junk")) == F.lit(False)) | F.exists(F.array(*[X.unnegated(text, p) != F.col(f"s.{n}") for n, p in native.items()]), lambda b: b))
+    assert differ.count() == 0
