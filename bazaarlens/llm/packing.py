@@ -108,12 +108,13 @@ def plan_best_fit_decreasing(histogram: dict[int, int], capacity: int) -> tuple[
     return runs, opened
 
 
-def pack(items: DataFrame, id_col: str, size_col: str, capacity: int, buckets: int = 64) -> DataFrame:
+def pack(items: DataFrame, id_col: str, size_col: str, capacity: int, buckets: int | None = None) -> DataFrame:
     """Columns id, piece_no, piece_size, container_id: every item, whole unless it exceeds ``capacity``.
 
-    ``buckets`` splits the ranking within a size; raise it with the number of executors.
+    ``buckets`` splits the ranking within a size; by default it follows the number of shuffle partitions.
     """
     spark = items.sparkSession
+    buckets = buckets or max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     size = F.coalesce(F.col(size_col).cast("long"), F.lit(0))
     # Equal (id, size) rows are interchangeable, so the ranking below needs no further tie-break.
     pieces = items.select(
