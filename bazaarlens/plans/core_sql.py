@@ -85,7 +85,7 @@ FROM raw_listings WHERE listing_url IS NOT NULL
 """,
     "html_item_pages": "SELECT c_custkey AS page_id, c_name AS title, trunc(abs(c_acctbal))::BIGINT AS price, 'a' || chr(10) || c_mktsegment AS description, c_mktsegment AS key, FALSE AS is_block FROM customer",
     "html_search_pages": "SELECT s_nationkey AS page_id, TRUE AS has_next, (s_suppkey + 1000000)::VARCHAR AS item_id, 'https://board.example/x_' || (s_suppkey + 1000000) AS url, s_name AS title, 1000::BIGINT AS price FROM supplier",
-    "months_elapsed": f"SELECT {_MONTHS}::BIGINT AS months, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1",
+    "months_elapsed": f"SELECT {_MONTHS}::INT AS months, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1",
     "catalog_lookup": f"SELECT coalesce(tier, '__other__') AS tier, year(release_date)::INT AS year, count(*) AS n FROM clean_listings LEFT JOIN phone_catalog ON {_KEY} = lower(name) GROUP BY 1, 2",
     "option_membership": f"""
 SELECT model, list_contains(storage_options, storage_gb::INT) AS offered, list_position(storage_options, storage_gb::INT)::BIGINT - 1 AS step, count(*) AS n FROM clean_listings JOIN phone_catalog ON {_KEY} = lower(name) WHERE storage_gb IS NOT NULL GROUP BY 1, 2, 3
