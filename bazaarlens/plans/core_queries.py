@@ -282,4 +282,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": fill_queries.p4_found,
         "p4_filled_clean": fill_queries.filled_clean,
         "p4_filled_raw": fill_queries.filled_raw,
+        "p4_held_out": fill_queries.held_out,
     }

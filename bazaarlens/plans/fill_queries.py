@@ -19,7 +19,30 @@ def _battery(field: str = "battery_health") -> Column:
 
 
 def filled_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """clean_listings with battery, its flag and the release year filled and marked."""
+    return _fill_clean(spark, folder, table(spark, folder, "clean_listings"))
+
+
+def held_out(spark: SparkSession, folder: str) -> DataFrame:
+    """Error of the fills on a tenth of the observed values, taken away by hash: field, n, error, error of the whole mean or mode.
+
+    The error is the mean absolute one for the battery and the share of wrong categories for the year.
+    """
     rows = table(spark, folder, "clean_listings")
+    away = F.pmod(F.xxhash64("item_id"), F.lit(10)) == 0
+    truth = rows.where(away).select("item_id", F.when(_battery() & (F.col("battery_known") == 1), F.col("battery_health")).alias("true_battery"), F.col("release_year").alias("true_year"))
+    masked = rows.withColumns({"battery_health": F.when(~away, F.col("battery_health")), "release_year": F.when(~away, F.col("release_year"))})
+    filled = _fill_clean(spark, folder, masked).select("item_id", "battery_health", "release_year").join(truth, "item_id")
+    kept = rows.where(~away)
+    mean = kept.where(_battery()).agg(F.avg("battery_health")).first()[0] or 0.0
+    year = kept.groupBy("release_year").count().orderBy(F.desc("count"), "release_year").limit(1).collect()
+    mode = year[0][0] if year else None
+    battery = filled.where("true_battery is not null").select(F.lit("battery_health").alias("field"), F.abs(F.col("battery_health") - F.col("true_battery")).cast("double").alias("e"), F.abs(F.lit(mean) - F.col("true_battery")).alias("b"))
+    years = filled.where("true_year between 2017 and 2025").select(F.lit("release_year").alias("field"), (~F.col("release_year").eqNullSafe(F.col("true_year"))).cast("double").alias("e"), (F.col("true_year") != F.lit(mode)).cast("double").alias("b"))
+    return battery.unionByName(years).groupBy("field").agg(F.count("*").alias("n"), F.avg("e").alias("error"), F.avg("b").alias("plain_error"))
+
+
+def _fill_clean(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
     years = table(spark, folder, "phone_catalog", "release_date").select(F.year("release_date").alias("y")).where("y is not null").distinct()
     released = [r[0] for r in years.orderBy("y").limit(1000).collect()]  # calendar years of a catalogue
     month = F.floor(F.months_between(F.to_timestamp_ntz(F.substring("scraped_at", 1, 10)), F.lit("2000-01-01").cast("date")) / 3)
@@ -39,6 +62,7 @@ def filled_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def filled_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """raw_listings with the battery filled and marked."""
     rows = table(spark, folder, "raw_listings")
     price = F.regexp_replace(F.regexp_replace("price", r"[.,]\d{1,2}\s*$", ""), r"[^0-9]", "").try_cast("double")
     named = F.lower(F.regexp_replace(F.coalesce(F.nullif(F.trim("model"), F.lit("")), F.regexp_extract("title", r"(?iu)((?:iphone|айфон)\s+\S+(?:\s+(?:pro|про)?\s*(?:max|макс)?(?:plus|плюс|mini|мини)?)?)", 1)), r"\s+", " "))

@@ -189,3 +189,10 @@ def test_selection(training):
     assert found["best"] in ("linear", "trees") and found["results"]["linear"]["summary"]["mape_mean"] < 10 and found["typical_error"] < 15
     with pytest.raises(ValueError):
         select_and_refit({}, training, "id")
+
+
+def test_fills_beat_the_plain_mean(spark, small):
+    from bazaarlens.plans.fill_queries import held_out
+
+    rows = {r["field"]: r for r in held_out(spark, small).collect()}
+    assert rows["release_year"]["error"] < 0.1 and rows["battery_health"]["error"] < rows["battery_health"]["plain_error"]
