@@ -203,32 +203,36 @@ def _same_name(pairs: DataFrame, index: Index) -> DataFrame:
     return pairs.mapInPandas(run, pairs.schema)
 
 
-def build_index(reps: DataFrame, sample: int = 20_000, threshold: float = 0.55, recall: float = 0.99, most_probes: int = 32, held: int = 2_000) -> Index:
-    """Train on a bounded sample and choose the least number of probes that reaches ``recall`` on held queries."""
+def build_index(reps: DataFrame, sample: int = 20_000, threshold: float = 0.55, recall: float = 0.99, held: int = 2_000) -> Index:
+    """Train on a bounded sample and choose the least number of probes that reaches ``recall`` on held queries; all cells if nothing shows that fewer do."""
     n = reps.count()
     share = min(1.0, sample / max(1, n))
     drawn = reps.select("name").where(F.pmod(F.xxhash64("name"), F.lit(1_000_000)) < int(share * 1e6) + 1).orderBy(F.xxhash64("name")).limit(sample)
     names = [r[0] for r in drawn.collect()] or [""]
     encoder = train(names)
-    index = Index(encoder, cells_of(encoder.encode(names), min(4096, max(4, round(math.sqrt(max(1, n)))))), most_probes, threshold)
+    centres = cells_of(encoder.encode(names), min(4096, max(4, round(math.sqrt(max(1, n))))))
+    index = Index(encoder, centres, len(centres), threshold)
     # exact neighbours of the held queries: all representatives of the same variant, checked one by one
-    ranked = _ranked_cells(reps, index, min(most_probes, len(index.centres)))
-    queries = ranked.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) <= int(1e6 * min(1.0, 1.5 * held / max(1, n)))).orderBy(F.xxhash64("rep")).limit(held)
-    pairs = queries.select(F.col("rep").alias("a"), F.col("name").alias("name_a"), "variant", "cells").join(
-        ranked.select(F.col("rep").alias("b"), F.col("name").alias("name_b"), "variant", F.col("cells")[0].alias("home")), "variant"
+    queries = reps.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) <= int(1e6 * min(1.0, 1.5 * held / max(1, n)))).orderBy(F.xxhash64("rep")).limit(held)
+    pairs = _ranked_cells(queries, index, len(centres)).select(F.col("rep").alias("a"), F.col("name").alias("name_a"), "variant", "cells").join(
+        _ranked_cells(reps, index, 1).select(F.col("rep").alias("b"), F.col("name").alias("name_b"), "variant", F.col("cells")[0].alias("home")), "variant"
     ).where(F.col("a") != F.col("b"))
     need = _same_name(pairs.select("a", "b", "name_a", "name_b", F.array_position("cells", F.col("home")).alias("probe")), index)
     counts = {r[0]: r[1] for r in need.groupBy("probe").agg(F.count("*")).collect()}
     total, found = sum(counts.values()), 0
-    for probes in range(1, min(most_probes, len(index.centres)) + 1):
+    for probes in range(1, len(centres) + 1):
         found += counts.get(probes, 0)
         if total and found >= recall * total:
-            return Index(encoder, index.centres, probes, threshold)
+            return Index(encoder, centres, probes, threshold)
     return index
 
 
 def edges(reps: DataFrame, index: Index) -> DataFrame:
-    """Columns a, b (a < b): representatives of one product, found through the index."""
+    """Columns a, b (a < b): representatives of one product, found through the index; an index that probes every cell is a join by variant."""
+    if index.probes >= len(index.centres):
+        left, right = (reps.select(F.col("rep").alias(x), F.col("name").alias(f"name_{x}"), "variant") for x in "ab")
+        pairs = left.join(right, "variant").where(F.col("a") < F.col("b")).select("a", "b", "name_a", "name_b")
+        return _same_name(pairs, index).select("a", "b")
     ranked = cut_lineage(_ranked_cells(reps, index, index.probes))
     homes = ranked.select(F.col("rep").alias("b"), F.col("name").alias("name_b"), "variant", F.col("cells")[0].alias("cell"))
     probing = ranked.select(F.col("rep").alias("a"), F.col("name").alias("name_a"), "variant", F.explode("cells").alias("cell"))

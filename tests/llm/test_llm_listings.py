@@ -4,6 +4,7 @@ import itertools
 import json
 import random
 
+import numpy as np
 import pytest
 from bazaarlens.llm import gazetteer, offers, pii, products, residue, truth
 from pyspark.sql import functions as F
@@ -208,6 +209,25 @@ def test_index_recall(catalogue):
     assert report["exact_links"] == 0 or report["found_links"] / report["exact_links"] >= 0.9
 
 
+def test_probes_rise_until_the_links_are_found(spark, monkeypatch):
+    # an encoder of little use: one gram outweighs the others, so that a slip often leads to a far cell
+    def poor(names, **_):
+        rng = np.random.default_rng(3)
+        return products.Encoder((rng.normal(size=(products.SLOTS, products.WIDTH)) * 10 ** (6 * rng.random((products.SLOTS, 1)))).astype(np.float32), {}, 1.0)
+
+    monkeypatch.setattr(products, "train", poor)
+    rng, rows = random.Random(5), []
+    for i in range(1800):
+        w = "".join(rng.choice("abdegiklmnoprstuvz") for _ in range(6))
+        rows += [(2 * i, f"v{i % 18}", w), (2 * i + 1, f"v{i % 18}", w[0] + w[2] + w[1] + w[3:])]
+    reps = spark.createDataFrame(rows, "rep long, variant string, name string")
+    index = products.build_index(reps)
+    assert len(index.centres) == 60
+    found = {(r["a"], r["b"]) for r in products.edges(reps, index).collect()}
+    planted = {(2 * i, 2 * i + 1) for i in range(1800)}
+    assert len(found & planted) >= 0.99 * len(planted)
+
+
 def test_components(spark):
     nodes = spark.range(30).withColumnRenamed("id", "rep")
     links = spark.createDataFrame([(i, i + 1) for i in range(12)] + [(20, 25), (21, 25)], "a long, b long")
