@@ -5,6 +5,8 @@ and blocking messages and script notices. Evidence that is weak on its own is co
 that shares no product term with the address slug (mismatch) and that stands on several different
 advertisements of one host (duplicated, low in information) is flagged although no detector knows
 its wording. Detectors are row-local; only the few mismatched titles are counted across rows.
+Bodies are judged by the detectors alone: most sellers' bodies repeat no term of title or slug, and
+their stock phrases stand on many advertisements of a host, so that this evidence says nothing there.
 
 Defined results: null and blank fields are never flagged; a missing address gives no mismatch;
 one row for each flagged field and kind; repeated input rows give repeated results.
