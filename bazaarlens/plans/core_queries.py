@@ -16,9 +16,9 @@ from bazaarlens.operators.models import BoostedTrees, LogLinear, cross_validate
 from bazaarlens.operators.rules import apply_rules, drop_repeats, drop_report, first_of, not_seen
 from bazaarlens.operators.stats import far_below_median, fill_group_median, group_statistics, outside_fence
 from bazaarlens.plans import fill_queries
-from bazaarlens.plans.clean import Settings, clean, read_attributes
+from bazaarlens.plans.clean import CONDITION_CODE, Settings, clean, read_attributes
 from bazaarlens.sources import html
-from bazaarlens.sources.catalog import catalog, offered, storage_set, with_model
+from bazaarlens.sources.catalog import catalog, lookup_key, offered, storage_set, with_model
 from bazaarlens.sources.synthetic import synthetic_listings
 from bazaarlens.sources.tables import table
 
@@ -253,18 +253,26 @@ def monotone_price_model(spark: SparkSession, folder: str) -> DataFrame:
 
 def gbt_price_model(spark: SparkSession, folder: str) -> DataFrame:
     rows = _training(spark, folder)
-    return BoostedTrees(iterations=8).fit(rows).predict(rows).select("item_id", "price", "y_hat")
+    return BoostedTrees().fit(rows).predict(rows).select("item_id", "price", "y_hat")
 
 
 def cross_validated_model(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of the monotone model by fold."""
-    return cross_validate(LogLinear, _training(spark, folder), "item_id", 3)[0]
+    return cross_validate(LogLinear, _training(spark, folder), "item_id")[0]
 
 
 def isolation_forest(spark: SparkSession, folder: str) -> DataFrame:
-    """Lonely listings by price, storage and age."""
-    rows = table(spark, folder, "clean_listings", "item_id", "price", "storage_gb", "battery_health", "phone_age_months")
-    return isolation_outliers(rows.withColumn("log_price", F.log("price")), ["log_price", "storage_gb", "phone_age_months"], "item_id", trees=50).where("is_outlier").select("item_id", "anomaly_score")
+    """Lonely listings by the five features of the cleaning pipeline; rows without price, storage or known model, which its rules drop, are left out."""
+    rows = with_model(table(spark, folder, "clean_listings", "item_id", "model", "price", "storage_gb", "condition", "battery_health"), table(spark, folder, "phone_catalog"))
+    rows = rows.where("price > 0 and storage_gb > 0 and release_date is not null")
+    battery = S.within(F.col("battery_health"), 40, 100)
+    rows = rows.select("item_id", lookup_key(F.col("model")).alias("model"), "price", "storage_gb", "condition", battery.alias("battery_health"), F.log("price").alias("log_price"), F.year("release_date").alias("year"))
+    is_new = F.col("condition") == "new"
+    rows = fill_group_median(rows, "battery_health", "year", ~is_new, 90.0, F.when(is_new, 100))
+    around = group_statistics(rows, F.col("log_price"), [("model", "storage_gb"), ("model",)], 1)
+    code = F.create_map(*[F.lit(x) for kv in CONDITION_CODE.items() for x in kv])[F.col("condition")]
+    around = around.withColumns({"off": F.col("log_price") - F.col("stat_median"), "code": code, "log_storage": F.log2("storage_gb")})
+    return isolation_outliers(around, ["off", "battery_health", "code", "log_storage", "year"], "item_id").where("is_outlier").select("item_id", "anomaly_score")
 
 
 def synthetic(spark: SparkSession, folder: str) -> DataFrame:

@@ -191,6 +191,35 @@ def test_selection(training):
         select_and_refit({}, training, "id")
 
 
+def test_queries_of_models_run_the_whole_job(spark, small, monkeypatch):
+    from bazaarlens.plans import core_queries
+
+    assert sorted(r["fold"] for r in core_queries.cross_validated_model(spark, small).collect()) == [0, 1, 2, 3, 4]
+    seen = []
+
+    def fit(self, rows):
+        seen.append((self.iterations, self.depth, self.rate))
+        raise InterruptedError
+
+    monkeypatch.setattr(BoostedTrees, "fit", fit)
+    with pytest.raises(InterruptedError):
+        core_queries.gbt_price_model(spark, small)
+    assert seen == [(20, 5, 0.2)]
+
+
+def test_lonely_listings_by_battery(spark, tmp_path):
+    from bazaarlens.plans import core_queries
+    from bazaarlens.sources.catalog import catalog
+
+    rng = random.Random(4)
+    rows = [(f"a{i}", "iPhone 13", 30_000.0 * math.exp(rng.gauss(0, 0.02)), 128.0, "used", float(rng.randint(85, 90)), 20.0) for i in range(120)]
+    rows += [("worn", "iPhone 13", 30_000.0, 128.0, "used", 41.0, 20.0), ("no_price", "iPhone 13", None, 128.0, "used", 88.0, 20.0), ("no_model", None, 30_000.0, 128.0, "used", 88.0, 20.0)]
+    spark.createDataFrame(rows, "item_id string, model string, price double, storage_gb double, condition string, battery_health double, phone_age_months double").write.parquet(f"{tmp_path}/clean_listings.parquet")
+    catalog(spark).write.parquet(f"{tmp_path}/phone_catalog.parquet")
+    found = {r["item_id"] for r in core_queries.isolation_forest(spark, str(tmp_path)).collect()}
+    assert "worn" in found and not found & {"no_price", "no_model"}
+
+
 def test_fills_beat_the_plain_mean(spark, small):
     from bazaarlens.plans.fill_queries import held_out
 
