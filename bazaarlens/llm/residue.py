@@ -88,7 +88,7 @@ _URL = re.compile(r"^[a-z]+://([^/?#]+)/?([^?#]*)", re.I)
 TRIGGERS = (
     "not found forbidden gateway unavailable|server error|too many|bad request|unauthorized|denied|timed out|не найден|ограничен|запрещ|не отвечает|ошибка|error|много запросов|работы на сайте|недоступен|connection|traceback|exception|stack trace|"
     "снято с|не найдено|сессия|session|не удалось|failed to|пошло не так|went wrong|вашего адреса|обновите страницу|проверка браузера|your browser|подтвердите|verify|вы человек|вы не робот|вы робот|moment|attention|request id|код запроса|http |"
-    "script|скрипт|сценари|js|cookie|blocker|null|none|nan|nil|undefined|#n/a|#ссылка|#ref|#value|#знач|object|loading|загрузка|please wait|подождите"
+    "script|скрипт|сценари|js|cookie|blocker|null|none|nan|nil|undefined|#n/a|#н/д|#ссылка|#ref|#value|#знач|object|loading|загрузка|please wait|подождите"
 ).replace("not found forbidden gateway unavailable", "not found|forbidden|gateway|unavailable").split("|")
 
 

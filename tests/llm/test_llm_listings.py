@@ -115,6 +115,11 @@ def test_residue(text, kinds):
     assert residue.detect(text) == kinds
 
 
+@pytest.mark.parametrize("value", ["null", "none", "nan", "nil", "undefined", "#n/a", "#н/д", "#ссылка!", "#ref!", "#знач!", "#value!", "[object object]"])
+def test_printed_empty_values_pass_the_prefilter(value):
+    assert "printed_empty" in residue.detect(value.upper()) and "printed_empty" in residue.detect(f"Память: {value.upper()}")
+
+
 def test_residue_of_a_table(spark):
     rows = [(i, "Совсем другое", "ок", f"https://a.x/iphone_{i}") for i in range(4)] + [(10, "iPhone 13", None, "https://a.x/iphone_10"), (11, None, "  ", None), (12, "Раз такое", "{{ x }}", "https://a.x/iphone_12"), (12, "Раз такое", "{{ x }}", "https://a.x/iphone_12")]
     df = spark.createDataFrame(rows, "id long, title string, body string, url string").withColumn("kind", F.lit("clash"))
