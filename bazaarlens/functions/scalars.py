@@ -64,13 +64,31 @@ def inner_range(low: Column, high: Column, step: int = 100) -> tuple[Column, Col
 
 def whole_months(start: Column, end: Column) -> Column:
     """Whole months from start to end, never negative; the day of the month must be reached."""
-    months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start) - F.when(F.dayofmonth(end) < F.dayofmonth(start), 1).otherwise(0)
-    return F.greatest(months, F.lit(0))
+
+    def months(d: Column) -> Column:
+        a, b = d.getField("a"), d.getField("b")
+        return F.greatest((F.year(b) - F.year(a)) * 12 + F.month(b) - F.month(a) - F.when(F.dayofmonth(b) < F.dayofmonth(a), 1).otherwise(0), F.lit(0))
+
+    return F.when(start.isNotNull() & end.isNotNull(), let(F.struct(start.cast("date").alias("a"), end.cast("date").alias("b")), months))
+
+
+def utc_micros(text: Column) -> Column:
+    """Microseconds since 1970 of an ISO-8601 time in basic or extended form; no offset means UTC; unreadable is null."""
+    t = strip(text)
+    t = F.regexp_replace(t, r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
+    t = F.regexp_replace(t, r"^(\d{4}-\d{2}-\d{2})[T ](\d{2})(\d{2})(\d{2})?(?=$|[^\d:])", "$1T$2:$3:$4")
+    t = F.regexp_replace(t, r"^(.{16}):(?=$|[^\d])", "$1")
+    t = F.regexp_replace(t, r"(\d{2}:\d{2}\S*[+-]\d{2})(\d{2})$", "$1:$2")
+    t = F.regexp_replace(t, r"(\d),(\d)", "$1.$2")
+    t = F.regexp_replace(t, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00Z")
+    t = F.regexp_replace(t, r"^(.{11}\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)$", "$1Z")
+    return let(t, lambda t: F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), F.unix_micros(t.try_cast("timestamp"))))
 
 
 def iso_date(text: Column, reference: Column) -> Column:
-    """UTC date of an ISO-8601 text; unreadable ones give the reference date."""
-    return F.coalesce(F.to_date(text.try_cast("timestamp")), reference)
+    """UTC date of an ISO-8601 text, whatever the zone of the session; unreadable ones give the reference date."""
+    days = F.floor(utc_micros(text) / 86_400_000_000).cast("int")
+    return F.coalesce(F.date_add(F.lit("1970-01-01").cast("date"), days), reference)
 
 
 def storage_label(gb: Column) -> Column:

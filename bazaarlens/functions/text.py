@@ -265,5 +265,5 @@ def region(location: Column) -> Column:
     head = F.trim(F.regexp_replace(F.regexp_replace(strip(head), r"(?iU)^(?:г\.|город\s)\s*", ""), rf"{U}\s+", " "))
     key = F.translate(F.lower(head), "ё", "е")
     alias = F.create_map(*[F.lit(x) for pair in REGION_ALIASES.items() for x in pair])
-    plain = F.concat(F.upper(F.substring(head, 1, 1)), F.substring(head, 2, 10_000))
+    plain = F.concat(F.upper(F.substring(head, 1, 1)), F.substr(head, F.lit(2)))
     return F.when((head == "") | F.lower(head).rlike(U + NOT_A_TOWN), UNKNOWN_REGION).otherwise(F.coalesce(alias[key], plain))
