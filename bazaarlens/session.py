@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +40,7 @@ def share_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the session names; set a temporary one only where none is named and none is set."""
+    """Use the shared folder the session names; on one machine a temporary one where none is named; elsewhere that is an error."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     current = sc._jsc.sc().getCheckpointDir()
@@ -47,18 +49,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         if current.isEmpty() or plain not in re.sub(r"^file:/*", "/", current.get()):
             sc.setCheckpointDir(named)
     elif current.isEmpty():
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="bazaarlens-checkpoint-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder, so that lost executors and loops replay no plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the checkpoint folder and read it back.
+
+    Lost executors and loops then replay no plan, and the optimizer knows the real size of the rows
+    that are left, where a checkpoint would keep the estimate of the plan that it cuts.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of the size of ``df``."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's estimate of the size of ``df``; estimates too long to be read count as endless."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except ValueError:
+        return sys.maxsize
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
