@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,26 +17,25 @@ def group_statistics(df: DataFrame, value: Column, levels: Sequence[Sequence[str
 
     Levels go from fine to coarse, and each coarser one drops keys of the finer, so all of them come
     out of one scan: rows are counted by finest key and value first, and exact weighted percentiles
-    are taken over the counts, level by level. Rows of no qualifying level have null statistics; a
-    null key is a group of its own.
+    are taken over the counts, level by level. Each finest group then chooses its level among these
+    aggregates, and the rows are joined once, by the finest key. Rows of no qualifying level have null
+    statistics; a null key is a group of its own.
     """
     rows = df if alive is None else df.where(alive)
     finest = list(dict.fromkeys(k for level in levels for k in level))
     counted = rows.select(*finest, value.alias("_value")).groupBy(*finest, "_value").agg(F.count("*").alias("_n"))
-    out = df
-    picks = []
+    # every group that a row can ask for, also those whose rows do not count
+    chosen = df.select(*[F.col(k).alias(f"_f{j}") for j, k in enumerate(finest)]).distinct()
+    place, picks = {k: f"_f{j}" for j, k in enumerate(finest)}, []
     for i, level in enumerate(levels):
-        stats = counted.groupBy(*level).agg(
+        stats = counted.groupBy(*[F.col(k).alias(f"_k{i}_{j}") for j, k in enumerate(level)]).agg(
             F.sum("_n").alias(f"_n{i}"), F.percentile("_value", [0.25, 0.5, 0.75], F.col("_n")).alias(f"_p{i}")
         ).where(F.col(f"_n{i}") >= least)
-        renamed = stats.select(*[F.col(k).alias(f"_k{i}_{j}") for j, k in enumerate(level)], f"_n{i}", f"_p{i}")
-        same = [out[k].eqNullSafe(renamed[f"_k{i}_{j}"]) for j, k in enumerate(level)]
-        condition = same[0]
-        for more in same[1:]:
-            condition = condition & more
-        out = out.join(small_side(renamed), condition, "left").drop(*[f"_k{i}_{j}" for j in range(len(level))])
+        same = reduce(and_, [F.col(place[k]).eqNullSafe(F.col(f"_k{i}_{j}")) for j, k in enumerate(level)])
+        chosen = chosen.join(stats, same, "left").drop(*[f"_k{i}_{j}" for j in range(len(level))])
         picks.append(F.when(F.col(f"_n{i}").isNotNull(), F.struct(F.col(f"_p{i}").alias("p"), F.col(f"_n{i}").alias("n"), F.lit(i).alias("level"))))
-    out = out.withColumn("_pick", F.coalesce(*picks))
+    chosen = chosen.select(*place.values(), F.coalesce(*picks).alias("_pick"))
+    out = df.join(small_side(chosen), reduce(and_, [F.col(k).eqNullSafe(F.col(f)) for k, f in place.items()]), "left")
     p = F.col("_pick.p")
     return out.select(*df.columns, p[1].alias("stat_median"), p[0].alias("stat_q1"), p[2].alias("stat_q3"), F.col("_pick.n").alias("stat_n"), F.col("_pick.level").alias("stat_level"))
 
