@@ -65,13 +65,13 @@ def score_rows(rows: np.ndarray, forest: list[np.ndarray], size: int) -> np.ndar
 
 
 def isolation_scores(df: DataFrame, features: Sequence[str], ident: str, trees: int = 200, size: int = 256, seed: int = 42) -> DataFrame:
-    """``df`` with anomaly_score; null features count as 0; trees see at most ``trees * size`` rows, drawn by hash."""
+    """``df`` with anomaly_score; null features count as 0; the trees are grown on ``trees * size`` rows drawn by hash (all rows if there are fewer), every row is scored."""
     rows = df.withColumns({f"_f{i}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for i, f in enumerate(features)})
     names = [f"_f{i}" for i in range(len(features))]
     n = df.count()
     if n < LEAST_ROWS:
         return df.withColumn("anomaly_score", F.lit(0.0))
-    most = min(trees * size, 50_000)
+    most = trees * size
     draw = rows.where(F.pmod(F.xxhash64(F.col(ident), F.lit(seed)), F.lit(1_000_000)) <= int(1e6 * min(1.0, 1.5 * most / n))).orderBy(F.xxhash64(F.col(ident), F.lit(seed))).limit(most)
     sample = np.array([tuple(r) for r in draw.select(*names).collect()], dtype=float)
     shared = df.sparkSession.sparkContext.broadcast(grow_forest(sample, trees, size, seed))

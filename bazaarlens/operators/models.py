@@ -2,30 +2,34 @@
 
 The constrained model is monotone by construction. One distributed pass builds the normal equations
 (their size is the square of the number of features, a bounded figure); the driver solves them
-under the sign constraints by cyclic coordinate descent.
+under the sign constraints exactly.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import platform
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from pathlib import Path
+from importlib import metadata
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
+from pyspark.errors import AnalysisException
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlens.operators.features import CATEGORICAL, NUMERIC, OTHER, fold_of, fold_metrics, frequent_values, metric_summary
+from bazaarlens.operators.features import CATEGORICAL, NUMERIC, fold_metrics, fold_of, frequent_values, metric_summary, most_frequent
 
 #: Direction in which a feature may move the price.
 DIRECTIONS = {"storage_gb": 1, "battery_health": 1, "phone_age_months": -1, "has_box": 1, "has_receipt": 1}
-BUNDLE_VERSION = 1
+BUNDLE_VERSION = 2
 
 
 @dataclass
@@ -36,6 +40,8 @@ class LogLinear:
     weights: list[float] = field(default_factory=list)
     directions: dict[str, int] = field(default_factory=lambda: dict(DIRECTIONS))
     name: str = "monotone_log_linear"
+    #: Most values of one category; beyond that the fit raises, as the normal equations grow with their square.
+    most_values: int = 10_000
 
     def design(self, pdf: pd.DataFrame) -> np.ndarray:
         columns = [np.ones(len(pdf))]
@@ -48,7 +54,10 @@ class LogLinear:
     def fit(self, rows: DataFrame, target: str = "price", ridge: float = 1e-3, least: int = 10) -> LogLinear:
         # a model's tier and a storage's label say nothing beyond model and number, and would blur the constraints
         for c in ("model", "condition", "region"):
-            self.vocabularies[c] = [r[0] for r in frequent_values(rows, c, least).limit(10_000).collect()]
+            found = frequent_values(rows, c, least).limit(self.most_values + 1).collect()
+            if len(found) > self.most_values:
+                raise ValueError(f"{c} has more than {self.most_values} values of {least} rows; raise most_values or least")
+            self.vocabularies[c] = [r[0] for r in found]
         shared = rows.sparkSession.sparkContext.broadcast(self)
         width = 1 + sum(map(len, self.vocabularies.values())) + len(NUMERIC)
 
@@ -78,22 +87,34 @@ class LogLinear:
 
         return rows.withColumn(out, run(F.struct(*CATEGORICAL, *NUMERIC)))
 
+    def importances(self) -> dict[str, float]:
+        """Share of each feature in the summed absolute coefficients: of a category the spread of its values, of a number its coefficient for one step of its unit."""
+        size, at = {}, 1
+        for c in CATEGORICAL:
+            if c in self.vocabularies:
+                part = np.asarray([0.0, *self.weights[at : at + len(self.vocabularies[c])]])
+                size[c], at = float(part.max() - part.min()), at + len(self.vocabularies[c])
+        size |= {c: abs(w) for c, w in zip(NUMERIC, self.weights[at:], strict=True)}
+        total = sum(size.values()) or 1.0
+        return {c: v / total for c, v in size.items()}
 
-def _constrained(a: np.ndarray, b: np.ndarray, signs: np.ndarray, rounds: int = 5_000, tolerance: float = 1e-9) -> np.ndarray:
-    """Minimum of x'ax/2 - b'x with x >= 0 where the sign is 1 and x <= 0 where it is -1."""
-    x = np.linalg.solve(a, b)
-    x = np.where(signs > 0, np.maximum(x, 0), np.where(signs < 0, np.minimum(x, 0), x))
-    free = signs == 0
-    for _ in range(rounds):
-        before = x.copy()
-        if free.any():
-            x[free] = np.linalg.solve(a[np.ix_(free, free)], b[free] - a[np.ix_(free, ~free)] @ x[~free])
-        for k in np.flatnonzero(~free):
-            step = x[k] + (b[k] - a[k] @ x) / a[k, k]
-            x[k] = max(step, 0) if signs[k] > 0 else min(step, 0)
-        if np.max(np.abs(x - before)) < tolerance:
-            break
-    return x
+
+def _constrained(a: np.ndarray, b: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """Minimum of x'ax/2 - b'x with x >= 0 where the sign is 1 and x <= 0 where it is -1.
+
+    Some of the few constrained entries are zero in the minimum: every choice of them is solved, and
+    of the solutions that keep the signs the least one is taken, so the result is exact.
+    """
+    bound = np.flatnonzero(signs)
+    best, least = np.zeros(len(b)), np.inf
+    for zeros in chain.from_iterable(combinations(bound, k) for k in range(len(bound) + 1)):
+        x = np.zeros(len(b))
+        free = np.setdiff1d(np.arange(len(b)), zeros)
+        x[free] = np.linalg.solve(a[np.ix_(free, free)], b[free])
+        value = x @ a @ x / 2 - b @ x
+        if value < least and np.all(signs[bound] * x[bound] >= 0):
+            best, least = x, value
+    return best
 
 
 class BoostedTrees:
@@ -152,26 +173,78 @@ def select_and_refit(candidates: dict, rows: DataFrame, ident: str, folds: int =
     return {"best": best, "results": results, "model": candidates[best]().fit(rows, target), "typical_error": results[best]["typical_error"]}
 
 
-def save_bundle(model: LogLinear, path: str, **statistics: object) -> None:
-    """A model with its training statistics and versions as one JSON document."""
-    document = {"version": BUNDLE_VERSION, "kind": model.name, "vocabularies": model.vocabularies, "weights": model.weights, "directions": model.directions, "statistics": statistics}
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(document, ensure_ascii=False), encoding="utf-8")
-
-
-def load_bundle(path: str) -> tuple[LogLinear, dict]:
-    """The model and its statistics; raises if the file is missing, no bundle, or of another version."""
-    if not Path(path).exists():
-        raise FileNotFoundError(path)
+def make_model(kind: str, **settings: object) -> LogLinear | BoostedTrees:
+    """An unfitted model by its name; the trees carry no constraints, the linear one may only move in ``DIRECTIONS``."""
+    kinds = {LogLinear.name: LogLinear, BoostedTrees.name: BoostedTrees}
+    if kind not in kinds:
+        raise ValueError(f"unknown model {kind!r}; one of {', '.join(kinds)}")
+    return kinds[kind](**settings)
+
+
+def training_statistics(rows: DataFrame, least: int = 10, most_regions: int = 10_000) -> dict:
+    """What a valuation needs besides the model: battery medians of observed, not new devices by release year and over all, the default region, and the regions with ``least`` rows."""
+    observed = rows.where((F.col("battery_known") == 1) & (F.col("condition") != "new") & F.col("battery_health").isNotNull())
+    counted = observed.groupBy("release_year", "battery_health").agg(F.count("*").alias("n"))
+    median = F.percentile("battery_health", 0.5, F.col("n"))
+    by_year = {str(r[0]): r[1] for r in counted.where("release_year is not null").groupBy("release_year").agg(median).collect()}  # a row a year
+    overall = counted.agg(median).first()[0]
+    regions = [r[0] for r in frequent_values(rows, "region", least).limit(most_regions + 1).collect()]
+    if len(regions) > most_regions:
+        raise ValueError(f"more than {most_regions} regions of {least} rows; raise most_regions or least")
+    return {"battery_by_year": by_year, "battery_median": 90.0 if overall is None else overall, "default_region": most_frequent(rows, "region"), "known_regions": regions, "n_train": rows.count()}
+
+
+def versions() -> dict[str, str]:
+    """Versions of what a bundle depends on."""
+    return {"python": platform.python_version(), **{name: metadata.version(name) for name in ("pyspark", "numpy", "pandas")}}
+
+
+def metrics_document(selection: dict, statistics: dict, metric: str = "mape", trained_at: str | None = None) -> dict:
+    """The result of :func:`select_and_refit` as one document: scores of all candidates and the importances of the best, largest first."""
+    importances = sorted(selection["model"].importances().items(), key=lambda kv: -kv[1])
+    return {
+        "best_model": selection["best"], "selected_by": metric, "n_train_samples": statistics.get("n_train"), "trained_at": trained_at or dt.datetime.now(dt.UTC).isoformat(timespec="seconds"),
+        "typical_error_pct": round(selection["typical_error"], 3), "cross_validation": {name: r["summary"] for name, r in selection["results"].items()},
+        "feature_importances": {name: round(value, 4) for name, value in importances}, "versions": versions(),
+    }
+
+
+def scores_table(selection: dict) -> str:
+    """Mean and deviation of every candidate's scores as text, the best one marked."""
+    lines = [f"{'model':<20} {'rmse':>20} {'mae':>20} {'mape, %':>16}"]
+    for name, r in selection["results"].items():
+        cells = [f"{r['summary'][m + '_mean']:,.{d}f} ± {r['summary'][m + '_std']:,.{d}f}" for m, d in (("rmse", 0), ("mae", 0), ("mape", 2))]
+        lines.append(f"{name:<20} {cells[0]:>20} {cells[1]:>20} {cells[2]:>16}" + (" best" if name == selection["best"] else ""))
+    return "\n".join(lines)
+
+
+def save_bundle(spark: SparkSession, model: LogLinear | BoostedTrees, path: str, **statistics: object) -> None:
+    """A fitted model with its training statistics and versions under ``path``, in any file system that Spark can write."""
+    document = {"version": BUNDLE_VERSION, "kind": model.name, "statistics": statistics, "versions": versions()}
+    if isinstance(model, LogLinear):
+        document |= {"vocabularies": model.vocabularies, "weights": model.weights, "directions": model.directions}
+    else:
+        model.model.write().overwrite().save(f"{path.rstrip('/')}/trees")
+    text = json.dumps(document, ensure_ascii=False)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/bundle")
+
+
+def load_bundle(spark: SparkSession, path: str) -> tuple[LogLinear | BoostedTrees, dict]:
+    """The model and its statistics; raises if nothing is there, or it is no bundle, or of another version."""
+    try:
+        lines = spark.read.text(f"{path.rstrip('/')}/bundle").limit(2).collect()
+    except AnalysisException as e:
+        raise FileNotFoundError(path) from e
     try:
-        document = json.loads(Path(path).read_text(encoding="utf-8"))
-    except ValueError as e:
-        raise ValueError(f"{path} is no model bundle") from e
-    if not isinstance(document, dict) or document.get("kind") != LogLinear.name:
+        document = json.loads(lines[0][0]) if len(lines) == 1 else None
+    except ValueError:
+        document = None
+    if not isinstance(document, dict) or document.get("kind") not in (LogLinear.name, BoostedTrees.name):
         raise ValueError(f"{path} is no model bundle")
     if document.get("version") != BUNDLE_VERSION:
         raise ValueError(f"bundle version {document.get('version')} is not {BUNDLE_VERSION}")
-    return LogLinear(document["vocabularies"], document["weights"], document["directions"]), document["statistics"]
-
-
-__all__ = ["OTHER", "BoostedTrees", "LogLinear", "cross_validate", "load_bundle", "save_bundle", "select_and_refit"]
+    if document["kind"] == LogLinear.name:
+        return LogLinear(document["vocabularies"], document["weights"], document["directions"]), document["statistics"]
+    trees = BoostedTrees()
+    trees.model = PipelineModel.load(f"{path.rstrip('/')}/trees")
+    return trees, document["statistics"]

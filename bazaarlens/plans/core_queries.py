@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,14 @@ from bazaarlens.functions import text as X
 from bazaarlens.functions.signs import signs
 from bazaarlens.operators import features as E
 from bazaarlens.operators.forest import isolation_outliers
-from bazaarlens.operators.models import BoostedTrees, LogLinear, cross_validate
+from bazaarlens.operators.models import BoostedTrees, LogLinear, cross_validate, training_statistics
 from bazaarlens.operators.rules import apply_rules, drop_repeats, drop_report, first_of, not_seen
 from bazaarlens.operators.stats import far_below_median, fill_group_median, group_statistics, outside_fence
+from bazaarlens.operators.valuation import RESULTS, evaluate
 from bazaarlens.plans import fill_queries
 from bazaarlens.plans.clean import CONDITION_CODE, Settings, clean, read_attributes
+from bazaarlens.plans.training import price_features
+from bazaarlens.session import cut_lineage, small_side
 from bazaarlens.sources import html
 from bazaarlens.sources.catalog import catalog, lookup_key, offered, storage_set, with_model
 from bazaarlens.sources.synthetic import synthetic_listings
@@ -241,24 +245,59 @@ def cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
     return clean(table(spark, folder, "raw_listings"), table(spark, folder, "phone_catalog"), Settings(), "listing_row")[1]
 
 
-def _training(spark: SparkSession, folder: str) -> DataFrame:
-    rows = E.training_rows(table(spark, folder, "clean_listings").where("battery_health between 40 and 100 and battery_known in (0, 1)"))
-    return E.feature_frame(rows, table(spark, folder, "phone_catalog"), ["item_id", "price"])
+def listing_ages(spark: SparkSession, folder: str) -> DataFrame:
+    """Day of capture in UTC and age of the model on that day; unreadable times count as the reference day."""
+    rows = with_model(table(spark, folder, "raw_listings", "listing_row", "model", "scraped_at"), table(spark, folder, "phone_catalog"))
+    day = S.iso_date(F.col("scraped_at"), F.lit("2026-09-01").cast("date"))
+    return rows.select("listing_row", day.cast("string").alias("day"), S.whole_months(F.col("release_date"), day).alias("phone_age_months"))
+
+
+def _features(spark: SparkSession, folder: str) -> DataFrame:
+    return cut_lineage(price_features(table(spark, folder, "clean_listings"), table(spark, folder, "phone_catalog"), "item_id"))
+
+
+def _predicted(spark: SparkSession, folder: str, model: LogLinear | BoostedTrees) -> DataFrame:
+    """A model fitted on all rows with a price, applied to all rows."""
+    rows = _features(spark, folder)
+    return model.fit(rows.where("price > 0")).predict(rows).select("item_id", "price", "y_hat")
 
 
 def monotone_price_model(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _training(spark, folder)
-    return LogLinear().fit(rows).predict(rows).select("item_id", "price", "y_hat")
+    return _predicted(spark, folder, LogLinear())
 
 
 def gbt_price_model(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _training(spark, folder)
-    return BoostedTrees().fit(rows).predict(rows).select("item_id", "price", "y_hat")
+    return _predicted(spark, folder, BoostedTrees())
 
 
 def cross_validated_model(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of the monotone model by fold."""
-    return cross_validate(LogLinear, _training(spark, folder), "item_id")[0]
+    return cross_validate(LogLinear, _features(spark, folder).where("price > 0"), "item_id")[0]
+
+
+def _asked(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "raw_listings", "listing_row", "model", "storage_gb", "condition", "battery_health", "location", "price")
+    return rows.select("listing_row", "model", "storage_gb", "condition", "battery_health", F.col("location").alias("region"), X.price(F.col("price")).alias("asking_price"))
+
+
+def _observed_statistics(spark: SparkSession, folder: str) -> dict:
+    seen = with_model(table(spark, folder, "clean_listings"), table(spark, folder, "phone_catalog")).withColumn("release_year", F.year("release_date"))
+    return training_statistics(seen.where("battery_health between 40 and 100"))
+
+
+def valuations(spark: SparkSession, folder: str) -> DataFrame:
+    """Asked prices of raw listings against the median price of their model; rows with an error keep null results."""
+    medians = table(spark, folder, "clean_listings", "model", "price").where("model is not null and price > 0").groupBy("model", "price").agg(F.count("*").alias("n")).groupBy(lookup_key(F.col("model")).alias("_m")).agg(F.percentile("price", 0.5, F.col("n")).alias("y_hat"))
+    predict = lambda rows: rows.join(small_side(medians), lookup_key(F.col("model")) == F.col("_m"), "left").drop("_m")
+    found = evaluate(_asked(spark, folder), table(spark, folder, "phone_catalog"), predict, _observed_statistics(spark, folder))
+    return found.select("listing_row", "error", "region_used", "battery_assumed", "fair_price", "verdict", *[F.round(c, 4).alias(c) for c in ("fair_low", "fair_high", "delta_pct")])
+
+
+def model_valuations(spark: SparkSession, folder: str) -> DataFrame:
+    """Asked prices of raw listings against the monotone model."""
+    model = LogLinear().fit(_features(spark, folder).where("price > 0"))
+    found = evaluate(_asked(spark, folder), table(spark, folder, "phone_catalog"), model.predict, _observed_statistics(spark, folder), dt.date(2026, 9, 1))
+    return found.select("listing_row", *RESULTS)
 
 
 def isolation_forest(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,7 +322,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         hier_iqr_outliers, group_levels, cheap_vs_group_median, rule_cascade_report, impute_group_median, dedup_cascade, content_fingerprint_dedup, normalize_text, json_params_lookup, url_canonical, html_item_pages, html_search_pages, months_elapsed,
         catalog_lookup, option_membership, catalog_storages, builtin_catalog, resume_append, first_capture, frequent_categories, default_category, value_counts, regression_metrics, fold_metrics, model_selection, delta_classes, prices_read, regions_read,
-        numbers_read, features_of_listings, negated_keyword_flags, junk_reasons, attributes_read, clean_listings_e2e, cleaning_report, monotone_price_model, gbt_price_model, cross_validated_model, isolation_forest,
+        numbers_read, features_of_listings, listing_ages, valuations, model_valuations, negated_keyword_flags, junk_reasons, attributes_read, clean_listings_e2e, cleaning_report, monotone_price_model, gbt_price_model, cross_validated_model, isolation_forest,
     )
     return {f.__name__: f for f in own} | {
         "synthetic_listings": synthetic,

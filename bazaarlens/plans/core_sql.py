@@ -37,8 +37,19 @@ scored AS (
 _KEY = f"lower(regexp_replace({_strip('model')}, '{_S}+', ' ', 'g'))"
 _MONTHS = "greatest((year(l_shipdate) - year(o_orderdate)) * 12 + month(l_shipdate) - month(o_orderdate) - CASE WHEN day(l_shipdate) < day(o_orderdate) THEN 1 ELSE 0 END, 0)"
 
+#: Time of capture in UTC, basic form made extended, no offset read as UTC.
+_UTC = r"""
+regexp_replace(trim(scraped_at), '^([0-9]{4})([0-9]{2})([0-9]{2})T([0-9]{2})([0-9]{2})([0-9]{2})', '\1-\2-\3T\4:\5:\6') AS t
+"""
+_DAY = "coalesce(((try_cast(CASE WHEN regexp_matches(t, '(Z|[+-][0-9]{2}:?[0-9]{2})$') AND regexp_matches(t, '[0-9]:[0-9]{2}') THEN t ELSE t || 'Z' END AS TIMESTAMPTZ)) AT TIME ZONE 'UTC')::DATE, DATE '2026-09-01')"
+
 SQL: dict[str, str] = {
     **P4_SQL,
+    "listing_ages": f"""
+WITH t AS (SELECT listing_row, model, {_UTC} FROM raw_listings), d AS (SELECT listing_row, model, {_DAY} AS day FROM t)
+SELECT listing_row, day::VARCHAR AS day, greatest((year(day) - year(release_date)) * 12 + month(day) - month(release_date) - CASE WHEN day(day) < day(release_date) THEN 1 ELSE 0 END, 0)::INT AS phone_age_months
+FROM d LEFT JOIN phone_catalog ON {_KEY} = lower(name)
+""",
     "hier_iqr_outliers": f"""
 WITH rows_ AS (SELECT *, ln(l_extendedprice) AS v FROM lineitem), {_levels("rows_", "v", [("l_partkey", "l_returnflag", "l_linestatus"), ("l_partkey", "l_returnflag"), ("l_partkey",)], 10)}
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, stat_level, stat_n, round(med, 6) AS stat_median FROM stats
@@ -133,3 +144,21 @@ SELECT item_id, model, coalesce(tier, '__other__') AS model_tier, CASE WHEN stor
 FROM clean_listings LEFT JOIN phone_catalog ON {_KEY} = lower(name)
 """,
 }
+
+SQL["valuations"] = f"""
+WITH prices AS ({SQL["prices_read"]}), regions AS ({SQL["regions_read"]}),
+seen AS (SELECT c.*, year(release_date) AS y FROM clean_listings c LEFT JOIN phone_catalog ON {_KEY} = lower(name) WHERE battery_health BETWEEN 40 AND 100),
+used AS (SELECT * FROM seen WHERE battery_known = 1 AND condition <> 'new'),
+years AS (SELECT y, quantile_cont(battery_health::DOUBLE, 0.5) AS med FROM used WHERE y IS NOT NULL GROUP BY y),
+usual AS (SELECT coalesce((SELECT quantile_cont(battery_health::DOUBLE, 0.5) FROM used), 90.0) AS med, (SELECT region FROM seen WHERE region IS NOT NULL AND region <> 'Неизвестно' GROUP BY region ORDER BY count(*) DESC, region LIMIT 1) AS region),
+fair AS (SELECT {_KEY} AS k, quantile_cont(price::DOUBLE, 0.5) AS fair FROM clean_listings WHERE model IS NOT NULL AND price > 0 GROUP BY 1),
+q AS (SELECT r.listing_row, {_KEY} AS k, r.condition, r.battery_health, r.location, p.price AS asked, g.region AS said, t.release_date, usual.med, usual.region AS usual_region, years.med AS year_med,
+  CASE WHEN t.name IS NULL THEN 'unknown_model' WHEN NOT coalesce(list_contains(t.storage_options, r.storage_gb), FALSE) THEN 'storage_not_offered' WHEN NOT coalesce(r.condition IN ('new', 'used', 'refurbished'), FALSE) THEN 'unsupported_condition'
+    WHEN NOT r.battery_health BETWEEN 1 AND 100 THEN 'battery_out_of_range' WHEN NOT coalesce(p.price > 0, FALSE) THEN 'price_not_positive' END AS error
+  FROM raw_listings r JOIN prices p USING (listing_row) JOIN regions g USING (listing_row) CROSS JOIN usual LEFT JOIN phone_catalog t ON {_KEY} = lower(t.name) LEFT JOIN years ON years.y = year(t.release_date)),
+v AS (SELECT q.*, fair, (asked - fair) / fair * 100 AS d FROM q LEFT JOIN fair ON fair.k = q.k AND q.error IS NULL)
+SELECT listing_row, error, CASE WHEN error IS NULL THEN CASE WHEN regexp_matches(coalesce(location, ''), '[^{_S[1:-1]}]') THEN said ELSE usual_region END END AS region_used,
+  CASE WHEN error IS NULL AND battery_health IS NULL THEN CASE WHEN condition = 'new' THEN 100.0 ELSE round_even(coalesce(year_med, med), 0) END END::DOUBLE AS battery_assumed, fair AS fair_price,
+  CASE WHEN d < -10 THEN 'great_deal' WHEN d > 10 THEN 'overpriced' WHEN d IS NOT NULL THEN 'fair' END AS verdict, round(fair * 0.9, 4) AS fair_low, round(fair * 1.1, 4) AS fair_high, round(d, 4) AS delta_pct
+FROM v
+"""

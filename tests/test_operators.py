@@ -1,5 +1,6 @@
 """Rules, repeats, statistics, fills, features, metrics, forest and models on small frames."""
 
+import datetime as dt
 import math
 import random
 
@@ -7,10 +8,12 @@ import numpy as np
 import pytest
 from bazaarlens.operators import features as E
 from bazaarlens.operators.forest import isolation_outliers
-from bazaarlens.operators.models import BoostedTrees, LogLinear, _constrained, load_bundle, save_bundle, select_and_refit
+from bazaarlens.operators.models import BoostedTrees, LogLinear, _constrained, load_bundle, make_model, metrics_document, save_bundle, scores_table, select_and_refit, training_statistics
 from bazaarlens.operators.propagate import Hub, Target, fill, to_fill
 from bazaarlens.operators.rules import apply_rules, drop_repeats, drop_report, not_seen, report_text
 from bazaarlens.operators.stats import far_below_median, fill_group_median, group_statistics, outside_fence
+from bazaarlens.operators.valuation import as_json, as_lines, evaluate
+from bazaarlens.sources.catalog import catalog
 from pyspark.sql import functions as F
 
 
@@ -166,27 +169,43 @@ def training(spark):
     return E.feature_frame(df, catalog(spark), ["id", "price"]).cache()
 
 
-def test_monotone_model(training, tmp_path):
+def test_monotone_model(training, spark, tmp_path):
     model = LogLinear().fit(training)
     error = model.predict(training).agg(F.avg(F.abs(F.col("price") - F.col("y_hat")) / F.col("price"))).first()[0]
     assert error < 0.08
     probe = training.limit(1).drop("battery_health").crossJoin(training.sparkSession.range(40, 101).select(F.col("id").cast("double").alias("battery_health")))
     series = [r["y_hat"] for r in model.predict(probe).orderBy("battery_health").collect()]
     assert all(b - a >= -1e-6 for a, b in zip(series, series[1:], strict=False))
-    path = str(tmp_path / "b" / "model.json")
-    save_bundle(model, path, typical_error=5.0)
-    again, statistics = load_bundle(path)
+    path = str(tmp_path / "linear")
+    save_bundle(spark, model, path, typical_error=5.0)
+    again, statistics = load_bundle(spark, path)
     assert again.weights == model.weights and statistics == {"typical_error": 5.0}
+    assert abs(sum(model.importances().values()) - 1) < 1e-9
     with pytest.raises(FileNotFoundError):
-        load_bundle(str(tmp_path / "none.json"))
-    (tmp_path / "bad.json").write_text("[]")
+        load_bundle(spark, str(tmp_path / "none"))
+    for text in ("[]", "{", '{"kind": "boosted_trees", "version": 0}'):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(str(tmp_path / "bad" / "bundle"))
+        with pytest.raises(ValueError):
+            load_bundle(spark, str(tmp_path / "bad"))
+
+
+def test_trees_are_kept(training, spark, tmp_path):
+    trees = make_model("boosted_trees", iterations=2, depth=2).fit(training)
+    save_bundle(spark, trees, str(tmp_path / "t"), typical_error=1.0)
+    again, statistics = load_bundle(spark, str(tmp_path / "t"))
+    both = trees.predict(training, "a").select("id", "a").join(again.predict(training, "b").select("id", "b"), "id")
+    assert both.where("abs(a - b) > 1e-9").count() == 0 and statistics == {"typical_error": 1.0}
     with pytest.raises(ValueError):
-        load_bundle(str(tmp_path / "bad.json"))
+        make_model("other")
 
 
 def test_selection(training):
     found = select_and_refit({"linear": LogLinear, "trees": lambda: BoostedTrees(iterations=3, depth=3)}, training, "id", 2)
     assert found["best"] in ("linear", "trees") and found["results"]["linear"]["summary"]["mape_mean"] < 10 and found["typical_error"] < 15
+    document = metrics_document(found, {"n_train": 7}, trained_at="now")
+    assert document["best_model"] == found["best"] and set(document["cross_validation"]) == {"linear", "trees"} and document["n_train_samples"] == 7
+    assert list(document["feature_importances"].values()) == sorted(document["feature_importances"].values(), reverse=True)
+    assert [line.endswith(" best") for line in scores_table(found).splitlines()].count(True) == 1
     with pytest.raises(ValueError):
         select_and_refit({}, training, "id")
 
@@ -225,3 +244,69 @@ def test_fills_beat_the_plain_mean(spark, small):
 
     rows = {r["field"]: r for r in held_out(spark, small).collect()}
     assert rows["release_year"]["error"] < 0.1 and rows["battery_health"]["error"] < rows["battery_health"]["plain_error"]
+
+
+def test_rare_values_beyond_the_bound_are_an_error(training):
+    with pytest.raises(ValueError):
+        LogLinear(most_values=1).fit(training)
+
+
+def test_statistics_of_training(spark):
+    rows = [(2020, 80, 1, "used", "Омск")] * 3 + [(2020, 90, 1, "used", "Уфа"), (2021, 91, 1, "used", "Уфа"), (2021, 40, 1, "new", "Неизвестно"), (2021, 50, 0, "used", "Омск"), (None, 99, 1, "used", None)]
+    found = training_statistics(spark.createDataFrame(rows, "release_year int, battery_health int, battery_known int, condition string, region string"), least=2)
+    assert found == {"battery_by_year": {"2020": 80.0, "2021": 91.0}, "battery_median": 85.0, "default_region": "Омск", "known_regions": ["Омск", "Уфа"], "n_train": 8}
+    empty = training_statistics(spark.createDataFrame([], "release_year int, battery_health int, battery_known int, condition string, region string"))
+    assert empty["battery_median"] == 90.0 and empty["battery_by_year"] == {} and empty["default_region"] == "Неизвестно"
+
+
+def test_valuation(spark):
+    models = catalog(spark)
+    rows = [
+        (1, "iPhone 13 Pro", 256, "used", 65_000, 78, "питер", True, None), (2, " iphone 13  pro", 256, "new", 49_500, None, None, None, True), (3, "iPhone 12", 128, "used", 40_000, None, " ", None, None), (4, "Nokia", 1, "used", 1, None, None, None, None),
+        (5, "iPhone 13", 64, "used", 1, 0, None, None, None), (6, "iPhone 13", 128, "for_parts", 1, 0, None, None, None), (7, "iPhone 13", 128, "used", 0, 0, None, None, None), (8, "iPhone 13", 128, "used", 0, None, None, None, None), (9, None, None, None, None, None, None, None, None),
+        (10, "iPhone 13", 128, "used", 60_500, 100, "Омск", False, False),
+    ]
+    queries = spark.createDataFrame(rows, "fair_price int, model string, storage_gb int, condition string, asking_price long, battery_health int, region string, has_box boolean, has_receipt boolean")
+    queries = queries.withColumnRenamed("fair_price", "id")
+    statistics = {"battery_by_year": {"2020": 84.5}, "battery_median": 88.5, "default_region": "Москва"}
+    seen = {r["id"]: r for r in evaluate(queries, models, lambda f: f.withColumn("y_hat", F.lit(55_000.0)), statistics, dt.date(2026, 9, 1)).collect()}
+    assert [seen[i]["error"] for i in range(1, 11)] == [None, None, None, "unknown_model", "storage_not_offered", "unsupported_condition", "battery_out_of_range", "price_not_positive", "unknown_model", None]
+    assert (round(seen[1]["delta_pct"], 2), seen[1]["verdict"], seen[1]["fair_low"], round(seen[1]["fair_high"], 6), seen[1]["region_used"], seen[1]["battery_assumed"]) == (18.18, "overpriced", 49_500.0, 60_500.0, "Санкт-Петербург", None)
+    assert (seen[2]["verdict"], seen[2]["battery_assumed"], seen[2]["region_used"]) == ("fair", 100.0, "Москва") and (seen[3]["verdict"], seen[3]["battery_assumed"], seen[3]["region_used"]) == ("great_deal", 84.0, "Москва")
+    assert seen[10]["verdict"] == "fair" and seen[4]["verdict"] is None and seen[4]["fair_price"] is None
+    valued = evaluate(queries.where("id in (1, 4)"), models, lambda f: f.withColumn("y_hat", F.lit(55_000.0)), statistics)
+    texts = sorted(r[0] for r in as_lines(valued).collect())
+    assert texts == ["Nokia | 1GB | used | asked 1 | error: unknown_model", "iPhone 13 Pro | 256GB | used | Санкт-Петербург | asked 65,000 | fair ~55,000 (49,500 - 60,500), +18.2%, overpriced"]
+    assert '"fair_range":[49500,60500],"delta_pct":18.18' in "".join(r[0] for r in as_json(valued, 5.0).collect())
+    assert evaluate(queries.limit(0), models, lambda f: f.withColumn("y_hat", F.lit(1.0)), statistics).count() == 0
+    with pytest.raises(ValueError):
+        evaluate(queries, models, lambda f: f, statistics, threshold=0)
+    with pytest.raises(ValueError):
+        evaluate(queries.drop("model"), models, lambda f: f, statistics)
+
+
+def test_completed_listings_have_no_gap(spark):
+    from bazaarlens.plans.training import complete_listings
+
+    rows = [("a", "iPhone 13", 128, "used", 80, 1, 9, "2026-01-01", 1, 0, "x"), ("b", None, None, None, None, None, None, "20260101T000000Z", None, None, "iPhone 13 на 256"), ("c", None, None, "new", 7, 1, None, None, 9, None, "стол"), ("d", "iPhone 13", None, "used", 90, 0, None, "?", 0, 1, None)]
+    df = spark.createDataFrame(rows, "item_id string, model string, storage_gb long, condition string, battery_health long, battery_known long, phone_age_months int, scraped_at string, has_box long, has_receipt long, title string")
+    got = {r["item_id"]: r for r in complete_listings(df, catalog(spark)).collect()}
+    seen = [tuple(got[i][c] for c in ("model", "storage_gb", "condition", "battery_health", "battery_known", "phone_age_months", "has_box", "has_receipt")) for i in "abcd"]
+    assert seen == [("iPhone 13", 128, "used", 80, 1, 9, 1, 0), ("iPhone 13", 256, "used", 80, 0, 51, 0, 0), ("__other__", 128, "new", 100, 0, 30, 0, 0), ("iPhone 13", 128, "used", 80, 0, 30, 0, 1)]
+
+
+def test_hot_keys_are_spread(spark, monkeypatch):
+    from bazaarlens.operators import rules
+
+    monkeypatch.setattr(rules, "HOT_ROWS", 5)
+    rows = [(i, "hot" if i % 3 else f"k{i}", f"u{i // 2}") for i in range(300)]
+    df = spark.createDataFrame(rows, "row long, item string, _reason string").withColumns({"drop_reason": F.lit(None).cast("string"), "_order": F.lit("clash")})
+    out = drop_repeats(df, "row", [("id", [F.col("item")], F.col("item") != ""), ("url", [F.col("_reason")], F.lit(True))])
+    assert out.columns == df.columns
+    got, first, seen = {r["row"]: r["drop_reason"] for r in out.collect()}, {}, {}
+    for i, item, url in rows:
+        want = "id" if item in first else "url" if url in seen else None
+        first.setdefault(item, i)
+        if want != "id":
+            seen.setdefault(url, i)
+        assert got[i] == want
