@@ -43,20 +43,20 @@ CAPTURE_RULES = {
 }
 
 
-def _captures(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "raw_listings", "listing_row", "item_id", "listing_url", "scraped_at", *CAPTURE_RULES)
-    return truth.discover(rows, truth.item_number(F.col("item_id"), F.col("listing_url")), "listing_row", truth.capture_time(F.col("scraped_at")), truth.host(F.col("listing_url")), CAPTURE_RULES)
+def _captures(spark: SparkSession, folder: str, *fields: str) -> DataFrame:
+    rows = table(spark, folder, "raw_listings", "listing_row", "item_id", "listing_url", "scraped_at", *fields)
+    number = truth.item_number(F.col("item_id"), F.col("listing_url"))
+    return truth.discover(rows, number, "listing_row", truth.capture_time(F.col("scraped_at")), truth.host(F.col("listing_url")), {f: CAPTURE_RULES[f] for f in fields})
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """The capture that gives each advertisement's surviving battery health."""
-    found = _captures(spark, folder).where(F.col("field") == "battery_health")
-    return found.select(F.col("group_key").alias("item_id"), F.col("row_id").alias("listing_row"))
+    return _captures(spark, folder, "battery_health").select(F.col("group_key").alias("item_id"), F.col("row_id").alias("listing_row"))
 
 
 def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     """One record for each advertisement that was captured more than once."""
-    return truth.survivors(_captures(spark, folder), list(CAPTURE_RULES)).withColumnRenamed("group_key", "item_id")
+    return truth.survivors(_captures(spark, folder, *CAPTURE_RULES), list(CAPTURE_RULES)).withColumnRenamed("group_key", "item_id")
 
 
 def _mapped_regions(spark: SparkSession, folder: str) -> DataFrame:

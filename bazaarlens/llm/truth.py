@@ -1,20 +1,25 @@
 """Problem 2: one surviving record for each group of captures, by iterative truth discovery.
 
 Captures of one advertisement make claims about its fields. Sources (hosts) have a reliability that
-is not known beforehand: supports of values are the reliability-weighted votes of their claims, the
-best supported value of each field is taken for true, and a source's reliability is the share of
-its claims that agree with what is taken for true; both are estimated in turn until reliabilities
-stand still. A field's rule says how claims are ordered before votes count: by validity, and for
-fields that change over time by the time of capture.
-
-Only fields on which the captures of a group disagree take part in the iteration: unanimous claims
-agree with any outcome. Everything is aggregated before it is shuffled (claims by group, field,
-value and source), so a group that holds a third of all rows is never gathered in one task.
-
-Defined results: rows without a key belong to no group; null and blank values claim nothing, except
-that a field whose captures are all null or invalid survives with its latest capture's value;
+is not known beforehand: the support of a value is the sum of its claims' weights, each the source's
+reliability times the claim's share of the vote; the best supported value of each field is taken for
+true, and a source's reliability is the share of its disputed claims that agree with what is taken
+for true. Both are estimated in turn until reliabilities stand still.
+
+Fields without a time of their own (title, model) give every claim the same share. Fields that change
+over time (battery, price) give the freshest claim a whole vote and let all others share ``stale``
+votes, so the freshest one stands against any number of older ones, unless its source is so much
+less reliable than theirs that their shared vote outweighs it.
+
+A field on which the valid captures of a group agree needs no iteration; those groups are settled by
+one partial aggregate. Only the claims of disputed groups are looked at again, aggregated by group,
+field, value and source, so a group that holds a third of all rows is never gathered in one task.
+
+Defined results: rows without a key belong to no group; null, blank and invalid values claim nothing,
+except that a field whose captures are all like that survives with its latest capture's value;
 unreadable times count as earliest; ties go to the smallest row id; exact copies vote like any
-capture; groups of one capture survive as they are.
+capture; groups of one capture are not reported; an empty table gives no rows. Reliabilities that do
+not stand still within ``max_rounds`` are an error.
 """
 
 from __future__ import annotations
@@ -25,12 +30,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.session import cut_lineage, small_side
+from bazaarlens.functions.scalars import utc_micros
+from bazaarlens.session import BROADCAST_LIMIT, cut_lineage, estimated_bytes, small_side, unused_name
+
+#: Reliability of a source before anything is known, and the number of claims that it counts for.
+PRIOR, PRIOR_CLAIMS = 0.8, 5
 
 
 @dataclass(frozen=True)
 class Rule:
-    """How claims on a field are ordered: valid ones first (``low``..``high`` if given), then the latest if ``latest``, then by votes."""
+    """Which values of a field are valid (``low``..``high`` if given), and whether it changes over time."""
 
     latest: bool = False
     low: float | None = None
@@ -52,76 +61,75 @@ def item_number(item_id: Column, url: Column) -> Column:
     return F.coalesce(F.nullif(said, F.lit("")), F.nullif(path_end, F.lit("")))
 
 
-def capture_time(text: Column) -> Column:
-    """Microseconds of an ISO-8601 time in basic or extended form; no offset means UTC; unreadable is null."""
-    t = F.trim(text)
-    t = F.regexp_replace(t, r"^(\d{4})(\d{2})(\d{2})[T ]?(\d{2})(\d{2})(\d{2})", r"$1-$2-$3T$4:$5:$6")
-    t = F.regexp_replace(t, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    t = F.when(t.rlike(r"\d{2}:\d{2}(:\d{2}([.,]\d+)?)?$") & ~t.rlike(r"[+-]\d{2}:\d{2}$"), F.concat(t, F.lit("Z"))).otherwise(t)
-    t = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(t, F.lit("T00:00:00Z"))).otherwise(t)
-    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), F.unix_micros(t.try_cast("timestamp")))
-
-
 def host(url: Column) -> Column:
     """Host of an address, or an empty text."""
     return F.lower(F.coalesce(F.regexp_extract(F.trim(url), r"^[A-Za-z]+://([^/?#]+)", 1), F.lit("")))
 
 
-def discover(captures: DataFrame, key: Column, row_id: str, time: Column, source: Column, rules: dict[str, Rule], tolerance: float = 0.005, max_rounds: int = 8) -> DataFrame:
-    """Columns group_key, field, value (text), row_id, support, claims for every field of every group of two or more captures."""
+capture_time = utc_micros
+
+
+def discover(captures: DataFrame, key: Column, row_id: str, time: Column, source: Column, rules: dict[str, Rule], stale: float = 0.5, tolerance: float = 0.001, max_rounds: int = 100) -> DataFrame:
+    """Columns group_key, field, value (text), row_id, support (share of all support), claims for every field of every group of two or more captures."""
     names = list(rules)
-    rows = captures.select(
-        key.alias("group_key"), F.col(row_id).cast("long").alias("row_id"), F.coalesce(time, F.lit(-(2**62))).alias("time"), source.alias("source"),
-        *[F.col(f).cast("string").alias(f"f{i}") for i, f in enumerate(names)],
-    ).where(F.col("group_key").isNotNull())
-    counts = rows.groupBy("group_key").agg(F.count("*").alias("_n")).where(F.col("_n") >= 2).select("group_key")
-    grouped = rows.join(counts, "group_key")
-
-    # the order of claims that the rule gives, before votes: validity, then time where the rule says so
-    claim = [
-        F.struct(
-            F.lit(i).alias("field"), F.col(f"f{i}").alias("value"), rules[f].valid(F.col(f"f{i}")).alias("valid"),
-            (F.col("time") if rules[f].latest else F.lit(0).cast("long")).alias("tier"), F.lit(rules[f].latest).alias("latest"),
-        )
-        for i, f in enumerate(names)
-    ]
-    claims = grouped.select("group_key", "source", "row_id", "time", F.explode(F.array(*claim)).alias("c")).select("group_key", "source", "row_id", "time", "c.*")
-    claims = claims.groupBy("group_key", "field", "value", "source").agg(
-        F.count("*").alias("n"), F.max(F.struct("valid", "tier", "time", (-F.col("row_id")).alias("minus_row"))).alias("best"), F.first("latest").alias("latest"), F.max("valid").alias("valid")
+    group = unused_name(captures, "_group")
+    keyed = captures.withColumn(group, key).where(F.col(group).isNotNull())
+
+    def claims_of(rows: DataFrame) -> DataFrame:
+        """A row for each capture and field; ``at`` orders captures, the latest and of those the smallest row id being the greatest."""
+        at = F.struct(F.coalesce(time, F.lit(-(2**62))).alias("time"), (-F.col(row_id).cast("long")).alias("minus_row"))
+        fields = [F.struct(F.lit(i).alias("field"), F.col(f).cast("string").alias("value"), rules[f].valid(F.col(f)).alias("valid"), F.lit(rules[f].latest).alias("latest")) for i, f in enumerate(names)]
+        one = rows.select(F.col(group).alias("group_key"), source.alias("source"), at.alias("at"), (fields[0] if len(fields) == 1 else F.explode(F.array(*fields))).alias("c"))
+        return one.select("group_key", "source", "at", "c.*")
+
+    said = F.when(F.col("valid"), F.col("value"))
+    tops = claims_of(keyed).groupBy("group_key", "field").agg(
+        F.count("*").alias("claims"), F.max(F.struct("valid", "at", "value")).alias("top"), F.min(said).alias("least"), F.max(said).alias("most"), F.count(said).alias("voices"), F.first("latest").alias("latest")
     )
-    claims = cut_lineage(claims)
-
-    # a field is contested if two valid values stand against each other; its winner can depend on votes unless time decides
-    contested = claims.where("valid").groupBy("group_key", "field").agg(F.min("value").alias("_a"), F.max("value").alias("_b"), F.first("latest").alias("_latest")).where(F.col("_a") != F.col("_b"))
-    disputed = cut_lineage(claims.where("valid").join(contested.select("group_key", "field"), ["group_key", "field"]).select("group_key", "field", "value", "source", "n", "best", "latest"))
-    totals = claims.where("valid").groupBy("source").agg(F.sum("n").alias("all_claims"))
-    totals = totals.join(disputed.groupBy("source").agg(F.sum("n").alias("disputed_claims")), "source", "left").na.fill(0, ["disputed_claims"])
-    reliability = cut_lineage(totals.select("source", "all_claims", "disputed_claims", F.lit(0.8).alias("r")))
+    tops = cut_lineage(tops.where(F.col("claims") >= 2))
+    open_ones = F.coalesce(F.col("least") != F.col("most"), F.lit(False))
+    settled = tops.where(~open_ones).select("group_key", "field", "top.value", (-F.col("top.at.minus_row")).alias("row_id"), F.lit(1.0).alias("support"), "claims")
 
+    disputed = cut_lineage(_disputed_claims(keyed, group, claims_of, tops.where(open_ones).select("group_key", "field", F.col("top.at").alias("fresh"), "claims", "voices"), stale))
+    sources = cut_lineage(disputed.groupBy("source").agg(F.sum("n").alias("n")).withColumn("r", F.lit(PRIOR)))
     for _ in range(max_rounds):
-        winners = _winners(disputed, reliability).select("group_key", "field", F.col("value").alias("true_value"))
-        agreed = disputed.join(winners, ["group_key", "field"]).where(F.col("value") == F.col("true_value")).groupBy("source").agg(F.sum("n").alias("agreed"))
-        agrees = F.col("all_claims") - F.col("disputed_claims") + F.coalesce(F.col("agreed"), F.lit(0))
-        after = cut_lineage(reliability.join(agreed, "source", "left").select("source", "all_claims", "disputed_claims", F.col("r").alias("_old"), ((agrees + 4) / (F.col("all_claims") + 5)).alias("r")))
-        moved = after.agg(F.max(F.abs(F.col("r") - F.col("_old")))).first()[0] or 0.0
-        reliability = after.drop("_old")
+        true = _winners(disputed, sources).select("group_key", "field", F.col("value").alias("true_value"))
+        agreed = disputed.join(true, ["group_key", "field"]).groupBy("source").agg(F.sum(F.when(F.col("value") == F.col("true_value"), F.col("n")).otherwise(0)).alias("agreed"))
+        after = cut_lineage(sources.join(agreed, "source").select("source", "n", F.col("r").alias("before"), ((F.col("agreed") + PRIOR * PRIOR_CLAIMS) / (F.col("n") + PRIOR_CLAIMS)).alias("r")))
+        moved = after.agg(F.max(F.abs(F.col("r") - F.col("before")))).first()[0] or 0.0
+        sources = after.drop("before")
         if moved < tolerance:
             break
-
-    labels = F.array(*[F.lit(f) for f in names])
-    found = _winners(claims, reliability)
-    return found.select("group_key", labels[F.col("field")].alias("field"), "value", "row_id", "support", "claims")
-
-
-def _winners(claims: DataFrame, reliability: DataFrame) -> DataFrame:
-    """The best supported value of each group and field, with the capture it is taken from."""
-    # log-odds of a source's reliability weigh its votes
-    weight = F.greatest(F.log(F.col("r") / (1 - F.col("r"))), F.lit(0.01))
-    voted = claims.join(small_side(reliability.select("source", weight.alias("w"))), "source")
-    values = voted.groupBy("group_key", "field", "value").agg(F.sum(F.col("n") * F.col("w")).alias("support"), F.max("best").alias("best"), F.sum("n").alias("n"), F.first("latest").alias("latest"))
-    order = F.struct("best.valid", "best.tier", F.when(F.col("latest"), F.col("best.minus_row")).alias("row_first"), F.round("support", 9).alias("support"), F.col("best.time").alias("time"), F.col("best.minus_row").alias("minus_row"))
-    top = values.groupBy("group_key", "field").agg(F.max(F.struct(order.alias("o"), "value", "support")).alias("top"), F.sum("n").alias("claims"))
-    return top.select("group_key", "field", "top.value", (-F.col("top.o.minus_row")).alias("row_id"), "top.support", "claims")
+    else:
+        raise ArithmeticError(f"reliabilities did not stand still within {max_rounds} rounds")
+
+    found = settled.unionByName(_winners(disputed, sources))
+    return found.withColumn("field", F.array(*[F.lit(f) for f in names])[F.col("field")])
+
+
+def _disputed_claims(keyed: DataFrame, group: str, claims_of, disputes: DataFrame, stale: float) -> DataFrame:  # noqa: ANN001
+    """Valid claims on disputed fields by group, field, value and source, with the number of captures and their share of the vote.
+
+    Few disputed groups are sent to all rows; many are joined with the claims after these are aggregated.
+    """
+    few = estimated_bytes(disputes) <= BROADCAST_LIMIT
+    if few:
+        groups = disputes.select(F.col("group_key").alias(f"{group}_key")).distinct()
+        keyed = keyed.join(F.broadcast(groups), F.col(group) == F.col(f"{group}_key"), "left_semi")
+    by = ["group_key", "field", "value", "source"]
+    claims = claims_of(keyed).where("valid").groupBy(*by).agg(F.count("*").alias("n"), F.max("at").alias("at"), F.first("latest").alias("latest"))
+    claims = claims.join(F.broadcast(disputes) if few else disputes, ["group_key", "field"])
+    fresh = (F.col("at") == F.col("fresh")).cast("int")
+    vote = F.when(F.col("latest"), fresh + stale * (F.col("n") - fresh) / F.col("voices")).otherwise(F.col("n") / F.col("voices"))
+    return claims.select(*by, "n", "at", "claims", vote.alias("vote"))
+
+
+def _winners(disputed: DataFrame, sources: DataFrame) -> DataFrame:
+    """The best supported value of each disputed field, with the latest capture that claims it."""
+    voted = disputed.join(small_side(sources.select("source", "r")), "source")
+    values = voted.groupBy("group_key", "field", "value").agg(F.sum(F.col("vote") * F.col("r")).alias("support"), F.max("at").alias("at"), F.first("claims").alias("claims"))
+    top = values.groupBy("group_key", "field").agg(F.max(F.struct(F.round("support", 9).alias("rounded"), "at", "value")).alias("top"), F.sum("support").alias("all"), F.first("claims").alias("claims"))
+    return top.select("group_key", "field", "top.value", (-F.col("top.at.minus_row")).alias("row_id"), (F.col("top.rounded") / F.col("all")).alias("support"), "claims")
 
 
 def survivors(found: DataFrame, fields: Sequence[str]) -> DataFrame:

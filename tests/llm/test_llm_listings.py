@@ -40,12 +40,32 @@ def test_truth_discovery(captures):
 
 def test_unreliable_sources_are_outvoted(spark):
     rows = [(i * 3 + s, str(i), f"https://{'abc'[s]}.x/p", "2026-01-01T00:00:00Z", None, "bad" if s == 2 else "good") for i in range(40) for s in range(3)]
-    rows += [(1000, "t", "https://c.x/p", "2026-01-01T00:00:00Z", None, "bad"), (1001, "t", "https://a.x/p", "2026-01-01T00:00:00Z", None, "good")]
+    rows += [(1000, "9001", "https://c.x/p", "2026-01-01T00:00:00Z", None, "bad"), (1001, "9001", "https://a.x/p", "2026-01-01T00:00:00Z", None, "good")]
     df = spark.createDataFrame(rows, "row long, item string, url string, at string, battery int, colour string")
     found = {r["group_key"]: r["value"] for r in discovered(df).where("field = 'colour'").collect()}
     assert set(found.values()) == {"good"}
 
 
+def test_a_late_unreliable_source_loses(spark):
+    day = lambda d: f"2026-01-{d:02d}T00:00:00Z"
+    rows, n = [], 0
+    for i in range(40):  # c.x, never the last one, is corrected by all others
+        for host, at, battery in (("c", 1, 50), ("a", 2, 90), ("b", 3, 90)):
+            rows.append((n, str(i), f"https://{host}.x/p", day(at), battery, None))
+            n += 1
+    rows += [(1000, "9001", "https://a.x/p", day(1), 90, None), (1001, "9001", "https://b.x/p", day(2), 90, None), (1002, "9001", "https://c.x/p", day(3), 50, None)]
+    rows += [(2000, "9002", "https://b.x/p", day(1), 70, None), (2001, "9002", "https://b.x/p", day(2), 70, None), (2002, "9002", "https://a.x/p", day(3), 80, None)]
+    df = spark.createDataFrame(rows, "row long, item string, url string, at string, battery int, colour string")
+    found = {r["group_key"]: (r["value"], r["row_id"]) for r in discovered(df).where("field = 'battery'").collect()}
+    assert found["9001"] == ("90", 1001) and found["9002"] == ("80", 2002) and {v for k, (v, _) in found.items() if int(k) < 40} == {"90"}
+
+
+def test_many_disputed_groups_are_joined_after_aggregation(captures, monkeypatch):
+    few = {(r["group_key"], r["field"]): r.asDict() for r in discovered(captures).collect()}
+    monkeypatch.setattr(truth, "BROADCAST_LIMIT", -1)
+    assert {(r["group_key"], r["field"]): r.asDict() for r in discovered(captures).collect()} == few
+
+
 def test_times(apply):
     cases = ["2026-01-01T03:00:00+03:00", "20260101T000000Z", "2026-01-01 00:00:00", "2026-01-01T00:00:00.000000+00:00", "0000-00-00T00:00:00", "вчера", None, "20260101T030000+0300"]
     got = apply(truth.capture_time, cases)
