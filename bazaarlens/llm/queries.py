@@ -31,6 +31,15 @@ def p1_model_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     return rank_summary.percentiles(rank_summary.combine(by_day, ["model"]), ["model"], PRICE_PERCENTILES)
 
 
+def p1_rank_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles for each model from combined daily summaries of an epsilon so coarse that they are compressed, checked against the true ranks of all rows."""
+    epsilon = 0.01
+    rows = table(spark, folder, "clean_listings", "model", "price", "scraped_at").withColumn("day", F.substring("scraped_at", 1, 10))
+    days = rank_summary.summarize(rows, ["model", "day"], "price", epsilon)
+    answers = rank_summary.percentiles(rank_summary.combine(days, ["model"]), ["model"], PRICE_PERCENTILES)
+    return rank_summary.rank_check(rows, ["model"], "price", answers, PRICE_PERCENTILES, epsilon)
+
+
 #: Which captures win each field of an advertisement.
 CAPTURE_RULES = {
     "battery_health": truth.Rule(latest=True, low=40, high=100),

@@ -4,14 +4,17 @@ A summary of n values is a sorted list of tuples (value, rmin, rmax): the value'
 in rmin..rmax. Merging adds the rank intervals of the other side's neighbours, which keeps every
 interval sure, so errors of parts add up to at most the same share of the whole; compressing drops
 tuples as long as the widest gap stays within the permitted uncertainty, 2 * share * n ranks.
-Building is one pass over the partitions with no shuffle of rows; only summaries travel, and they
-are merged in two rounds, first within slots, so a group that holds a third of all rows costs no
-task more than the summaries of one slot, each of bounded size.
-
-Each step that compresses may spend an equal part of ``epsilon``, and ``rank_error`` states the error
-that was really accumulated: the answer for a percentile differs from the true one by at most that
-many ranks. Groups of up to about (1 / epsilon) values are never compressed and come out
-exact.
+Building is one pass over the partitions with no shuffle of rows; only summaries travel. They are
+merged in a tree of ``FAN`` summaries a node whose height follows the largest number of summaries
+that a group has, so a group that holds a third of all rows costs no task more than ``FAN`` summaries,
+each of bounded size.
+
+Every summary carries the ``epsilon`` that it promises and its depth in the tree. Compressing at depth
+d may bring the error to ``budget(d)`` of epsilon, a series that grows with d and never reaches the
+whole, so results of days, files or earlier merges can be combined as often as one likes and still
+keep epsilon; what grows with depth is the size, by the square of it at most. ``rank_error`` states
+the error that was really accumulated: the answer for a percentile differs from the true one by at
+most that many ranks. Groups of up to about (1 / epsilon) values are never compressed and come out exact.
 
 Defined results: null and NaN values are left out of ranks and counted in ``n_missing``; null
 group keys form their own group; infinities are ordinary extreme values; the percentile q of n
@@ -23,6 +26,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -30,8 +35,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaarlens.session import cut_lineage, small_side
+
 Summary = tuple[np.ndarray, np.ndarray, np.ndarray]
-SUMMARY_FIELDS = "n long, n_missing long, depth int, part long, tuple_values array<double>, rmin array<long>, rmax array<long>"
+COLUMNS = ("n", "n_missing", "epsilon", "depth", "part", "tuple_values", "rmin", "rmax")
+SUMMARY_FIELDS = "n long, n_missing long, epsilon double, depth int, part long, tuple_values array<double>, rmin array<long>, rmax array<long>"
+#: Summaries that one task merges into one.
+FAN = 64
+
+
+def budget(depth: int) -> float:
+    """Share of epsilon that may be spent up to a depth: the sum of 1 / k^2 to depth + 1 over its limit."""
+    return sum(1.0 / (k * k) for k in range(1, depth + 2)) * 6.0 / math.pi**2
 
 
 def exact(values: np.ndarray) -> Summary:
@@ -97,25 +112,23 @@ def query(s: Summary, q: float) -> float | None:
 
 #: Rows that a task sorts at once, and tuples it holds before it sends its summaries on.
 BUFFER_ROWS, HELD_TUPLES = 100_000, 2_000_000
-#: Steps that may compress: the build, and the two rounds of merging.
-STEPS = 3
 
 
-def summarize(df: DataFrame, keys: Sequence[str], value_col: str | Column, epsilon: float = 0.0005, slots: int = 256) -> DataFrame:
-    """One summary row for each group: ``keys``, n, n_missing, depth, part, tuple_values, rmin, rmax.
+def summarize(df: DataFrame, keys: Sequence[str], value_col: str | Column, epsilon: float = 0.0005) -> DataFrame:
+    """One summary row for each group: ``keys`` and ``COLUMNS``.
 
     ``part`` and ``depth`` belong to the merge tree; results of separate days or files can be
-    unioned and given to :func:`combine`. ``slots`` is the width of the tree's first round.
+    unioned and given to :func:`combine`.
     """
     value = F.col(value_col) if isinstance(value_col, str) else value_col
     # positions instead of the caller's names, so that clashing names do no harm
     rows = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], value.cast("double").alias("v"))
     key_cols = [f"k{i}" for i in range(len(keys))]
     key_fields = [T.StructField(f"k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-    share = epsilon / STEPS
+    share = epsilon * budget(0)
     schema = T.StructType(key_fields + T.StructType.fromDDL(SUMMARY_FIELDS).fields)
 
-    columns = [*key_cols, "n", "n_missing", "depth", "part", "tuple_values", "rmin", "rmax"]
+    columns = [*key_cols, *COLUMNS]
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -124,7 +137,7 @@ def summarize(df: DataFrame, keys: Sequence[str], value_col: str | Column, epsil
         kept: dict[tuple, list] = {}
 
         def flush() -> pd.DataFrame:
-            out = [(*(None if x == "\0null" else x for x in name), n, m, 0, part, *compress(s, 2 * share * n)) for name, (n, m, s) in kept.items()]
+            out = [(*(None if x == "\0null" else x for x in name), n, m, epsilon, 0, part, *compress(s, 2 * share * n)) for name, (n, m, s) in kept.items()]
             kept.clear()
             return pd.DataFrame(out, columns=columns)
 
@@ -168,59 +181,60 @@ def summarize(df: DataFrame, keys: Sequence[str], value_col: str | Column, epsil
         if kept:
             yield flush()
 
-    summaries = rows.mapInPandas(build, schema)
-    return _merge_rounds(summaries, key_cols, share, slots).select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], "n", "n_missing", "depth", "part", "tuple_values", "rmin", "rmax")
+    merged = _merge_tree(rows.mapInPandas(build, schema), key_cols)
+    return merged.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], *COLUMNS)
 
 
-def _merge_rounds(summaries: DataFrame, key_cols: list[str], share: float, slots: int) -> DataFrame:
-    """Merge in two rounds: within ``slots`` slots of each group, then the slots of each group."""
+def _merge_tree(summaries: DataFrame, key_cols: list[str]) -> DataFrame:
+    """Merge level by level, up to ``FAN`` summaries of a group at a time, until each group has one."""
     schema = summaries.schema
     names = [f.name for f in schema.fields]
 
     def close(key: tuple, rows: list[tuple]) -> tuple:
-        n = sum(r[0] for r in rows)
-        sides = [(r[4], r[5], r[6]) for r in rows]
-        allowed = 2 * share * n + sum(max(0, widest_gap(s) - 1) for s in sides)  # merged gaps may have the sum of the parts' gaps
+        if len(rows) == 1:
+            return (*key, *rows[0])
+        n, epsilon, depth = sum(r[0] for r in rows), max(r[2] for r in rows), max(r[3] for r in rows) + 1
+        sides = [r[5:] for r in rows]
         while len(sides) > 1:
             sides = [merge(sides[i], sides[i + 1]) if i + 1 < len(sides) else sides[i] for i in range(0, len(sides), 2)]
-        return (*key, n, sum(r[1] for r in rows), max(r[2] for r in rows) + 1, rows[0][3], *compress(sides[0], allowed))
+        return (*key, n, sum(r[1] for r in rows), epsilon, depth, rows[0][4], *compress(sides[0], 2 * epsilon * budget(depth) * n))
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows of a group follow each other, so one group is held at a time
+        # rows of a node follow each other, so one node is held at a time
         key, rows = None, []
         for batch in batches:
             out = []
             clean = [batch[k].astype(object).where(batch[k].notna(), None) for k in key_cols]
-            for *new, n, m, depth, part, v, lo, hi in zip(*clean, *(batch[c] for c in names[len(key_cols):]), strict=True):
+            for *new, n, m, epsilon, depth, part, v, lo, hi in zip(*clean, *(batch[c] for c in names[len(key_cols):]), strict=True):
                 mark = (*new, part)
                 if mark != key:
                     if rows:
                         out.append(close(key[:-1], rows))
                     key, rows = mark, []
-                rows.append((n, m, depth, part, v, lo, hi))
+                rows.append((n, m, epsilon, depth, part, v, lo, hi))
             if out:
                 yield pd.DataFrame(out, columns=names)
         if rows:
             yield pd.DataFrame([close(key[:-1], rows)], columns=names)
 
-    for width in (slots, 1):
-        summaries = summaries.withColumn("part", F.pmod(F.col("part"), F.lit(width)).cast("long"))
-        summaries = summaries.repartition(*key_cols, "part").sortWithinPartitions(*key_cols, "part").mapInPandas(join, schema)
+    summaries = cut_lineage(summaries)
+    most = summaries.groupBy(*key_cols).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    while most > 1:
+        most = math.ceil(most / FAN)
+        nodes = summaries.withColumn("part", F.pmod(F.col("part"), F.lit(most)).cast("long"))
+        summaries = nodes.repartition(*key_cols, "part").sortWithinPartitions(*key_cols, "part").mapInPandas(join, schema)
     return summaries
 
 
-def combine(summaries: DataFrame, keys: Sequence[str], epsilon: float = 0.0005, slots: int = 256) -> DataFrame:
-    """Merge summary rows of days, files or runs into one row for each group of ``keys``.
+def combine(summaries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merge summary rows of days, files or runs into one row for each group of ``keys``, within the largest epsilon that they promise.
 
-    A hash of each row's counts spreads the rows of a group over ``slots`` first, so that a group of
-    any number of rows goes through the rounds and never through one task.
+    A hash of each row's counts spreads the rows of a group over the nodes of the tree, so that a group
+    of any number of rows never goes through one task.
     """
     part = F.xxhash64("n", "n_missing", F.element_at("tuple_values", 1), F.element_at("tuple_values", -1), "part")
-    rows = summaries.where(F.size("tuple_values") >= 0).select(
-        *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], "n", "n_missing", "depth", F.when(F.col("n") > 0, part).otherwise(0).cast("long").alias("part"), "tuple_values", "rmin", "rmax"
-    )
-    merged = _merge_rounds(rows, [f"k{i}" for i in range(len(keys))], epsilon / STEPS, slots)
-    return merged.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], "n", "n_missing", "depth", "part", "tuple_values", "rmin", "rmax")
+    rows = summaries.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[F.when(F.col("n") > 0, part).otherwise(0).cast("long").alias(c) if c == "part" else c for c in COLUMNS])
+    return _merge_tree(rows, [f"k{i}" for i in range(len(keys))]).select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], *COLUMNS)
 
 
 def percentiles(summaries: DataFrame, keys: Sequence[str], probabilities: dict[str, float]) -> DataFrame:
@@ -238,3 +252,20 @@ def percentiles(summaries: DataFrame, keys: Sequence[str], probabilities: dict[s
             yield pd.DataFrame(rows, columns=[f.name for f in [*fields, *out]])
 
     return summaries.select(*keys, "n", "n_missing", "tuple_values", "rmin", "rmax").mapInPandas(run, T.StructType([*fields, *out]))
+
+
+def rank_check(rows: DataFrame, keys: Sequence[str], value_col: str, answers: DataFrame, probabilities: dict[str, float], epsilon: float) -> DataFrame:
+    """``keys``, n, exact_ranks, bound_holds: whether each answer's true rank is within the stated error, and that within epsilon of n.
+
+    The ranks of the answers are counted over all rows, by equal values first.
+    """
+    named = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    same = reduce(and_, [F.col(f"k{i}").eqNullSafe(F.col(f"a{i}")) for i in range(len(keys))])
+    counted = rows.select(*named, F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy(*[f"k{i}" for i in range(len(keys))], "v").agg(F.count("*").alias("c"))
+    found = answers.select(*[F.col(k).alias(f"a{i}") for i, k in enumerate(keys)], "n", "rank_error", *probabilities)
+    below = [F.sum(F.when(F.col("v") < F.col(p), F.col("c")).otherwise(0)).alias(f"{p}_below") for p in probabilities]
+    upto = [F.sum(F.when(F.col("v") <= F.col(p), F.col("c")).otherwise(0)).alias(f"{p}_upto") for p in probabilities]
+    ranked = counted.join(small_side(found), same).groupBy(*[f"a{i}" for i in range(len(keys))], "n", "rank_error").agg(*below, *upto)
+    wanted = {p: F.greatest(F.lit(1), F.ceil(F.round(F.lit(q) * F.col("n"), 9))) for p, q in probabilities.items()}
+    fits = reduce(and_, [(F.col(f"{p}_below") + 1 - F.col("rank_error") <= w) & (w <= F.col(f"{p}_upto") + F.col("rank_error")) for p, w in wanted.items()])
+    return ranked.select(*[F.col(f"a{i}").alias(k) for i, k in enumerate(keys)], "n", fits.alias("exact_ranks"), (F.col("rank_error") <= F.greatest(F.lit(1.0), F.lit(epsilon) * F.col("n") + 1)).alias("bound_holds"))

@@ -150,7 +150,7 @@ def test_percentiles_of_a_table(spark):
     groups = {"a": rng.lognormal(3, 1, 30_000), "b": rng.integers(0, 5, 4000).astype(float), None: np.arange(10.0)}
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("c", None), ("c", float("nan")), ("a", None)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(12).withColumn("n", F.lit("clash"))
-    summaries = R.summarize(df, ["g"], "v", epsilon=0.01, slots=4).cache()
+    summaries = R.summarize(df, ["g"], "v", epsilon=0.01).cache()
     out = {r["g"]: r for r in R.percentiles(summaries, ["g"], {"p10": 0.1, "p50": 0.5, "p99": 0.99}).collect()}
     for g, vs in groups.items():
         assert out[g]["n"] == len(vs) and out[g]["rank_error"] <= 0.01 * len(vs) + 1
@@ -161,7 +161,35 @@ def test_percentiles_of_a_table(spark):
             assert low - out[g]["rank_error"] <= rank <= high + out[g]["rank_error"]
     assert out["a"]["n_missing"] == 1 and out["c"]["n"] == 0 and out["c"]["p50"] is None and out["c"]["n_missing"] == 2
     assert max(len(r["tuple_values"]) for r in summaries.collect()) < 1000
-    halves = [R.summarize(df.where(F.coalesce(F.col("v"), F.lit(0)) % 2 < 1 if i else ~F.coalesce(F.coalesce(F.col("v"), F.lit(0)) % 2 < 1, F.lit(False))), ["g"], "v", epsilon=0.01, slots=4) for i in (0, 1)]
-    whole = {r["g"]: r["n"] for r in R.combine(halves[0].unionByName(halves[1]), ["g"], 0.01, 4).collect()}
+    halves = [R.summarize(df.where(F.coalesce(F.col("v"), F.lit(0)) % 2 < 1 if i else ~F.coalesce(F.coalesce(F.col("v"), F.lit(0)) % 2 < 1, F.lit(False))), ["g"], "v", epsilon=0.01) for i in (0, 1)]
+    whole = {r["g"]: r["n"] for r in R.combine(halves[0].unionByName(halves[1]), ["g"]).collect()}
     assert whole["a"] == 30_000 and whole["b"] == 4000
     assert R.percentiles(R.summarize(df.limit(0), ["g"], "v"), ["g"], {"p50": 0.5}).count() == 0
+
+
+def test_epsilon_holds_through_any_number_of_merges(spark, monkeypatch):
+    monkeypatch.setattr(R, "FAN", 4)
+    rng = np.random.default_rng(4)
+    days = {d: rng.lognormal(3, 1 + d / 64, 900) for d in range(64)}
+    df = spark.createDataFrame([(d, d // 8, float(v)) for d, vs in days.items() for v in vs], "d int, w int, v double").repartition(8)
+    by_day = R.summarize(df, ["w", "d"], "v", epsilon=0.01).cache()
+    assert max(len(r["tuple_values"]) for r in by_day.collect()) < 200
+    by_week = R.combine(by_day, ["w"]).withColumn("g", F.lit(0)).cache()
+    whole = R.combine(by_week, ["g"]).cache()
+    row, values = whole.first(), np.concatenate(list(days.values()))
+    summary = tuple(np.asarray(row[c]) for c in ("tuple_values", "rmin", "rmax"))
+    assert row["n"] == len(values) and R.rank_error(summary) <= 0.01 * len(values) and len(summary[0]) < 1500 and row["depth"] > 4
+    assert max(off_by(summary, values, q) for q in np.linspace(0, 1, 201)) <= R.rank_error(summary)
+    again = whole
+    for _ in range(3):  # the whole joined with itself time and again
+        again = R.combine(again.unionByName(again), ["g"])
+    last = again.first()
+    assert R.rank_error(tuple(np.asarray(last[c]) for c in ("tuple_values", "rmin", "rmax"))) <= 0.01 * last["n"] == 0.01 * 8 * len(values)
+
+
+def test_answers_are_checked_by_counting(spark):
+    df = spark.createDataFrame([("a", float(i)) for i in range(100)] + [(None, 5.0), ("b", None)], "g string, v double")
+    good = R.percentiles(R.summarize(df, ["g"], "v"), ["g"], {"p50": 0.5})
+    assert {(r["g"], r["n"], r["exact_ranks"], r["bound_holds"]) for r in R.rank_check(df, ["g"], "v", good, {"p50": 0.5}, 0.01).collect()} == {("a", 100, True, True), (None, 1, True, True)}
+    bad = good.withColumn("p50", F.col("p50") + 3)
+    assert [r["exact_ranks"] for r in R.rank_check(df, ["g"], "v", bad, {"p50": 0.5}, 0.01).where("g = 'a'").collect()] == [False]
