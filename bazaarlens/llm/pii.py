@@ -1,10 +1,12 @@
 """Problem 6: personal data in free text, found under its disguises and replaced by typed placeholders.
 
 A text is rewritten by small transducers that remember where every character came from: look-alike
-letters inside numbers and words, digits written as words, and disguised "at" and "dot" become
-plain. Identifiers are looked for in the plain form, and the spans found are mapped back to the
-source, so the placeholder replaces exactly the disguised characters and the rest of the text
-stays as it was. A transducer runs only where one of its trigger words stands.
+letters inside words and numbers, numbers written as words (digits, tens and hundreds), and disguised
+"at" and "dot" become plain. E-mails, phones, numbers of documents and addresses are looked for in
+the plain form, and the spans found are mapped back to the source, so the placeholder replaces exactly
+the disguised characters and the rest of the text stays as it was. A transducer or a detector runs
+only where one of its trigger words stands. Names are known by given names, and where those are
+unknown by their shape (patronymics, surnames) and by words that announce a person.
 
 Kinds: email, phone, id_number (numbers of personal documents and accounts with the state),
 address (street or the like with a house number) and name (two of given name, patronymic and
@@ -17,7 +19,7 @@ the earliest and longest; texts of any length are read whole; repeated rows give
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pandas as pd
@@ -42,6 +44,10 @@ DIGIT_WORDS = {
     "ноль": "0", "нуль": "0", "один": "1", "два": "2", "три": "3", "четыре": "4", "пять": "5", "шесть": "6", "семь": "7", "восемь": "8", "девять": "9",
     "zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
 }
+# ---- Fixed values: numbers from ten on as words.
+TEENS = dict(zip("десять одиннадцать двенадцать тринадцать четырнадцать пятнадцать шестнадцать семнадцать восемнадцать девятнадцать".split(), range(10, 20), strict=True)) | dict(zip("ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split(), range(10, 20), strict=True))
+TENS = dict(zip("двадцать тридцать сорок пятьдесят шестьдесят семьдесят восемьдесят девяносто".split(), range(20, 100, 10), strict=True)) | dict(zip("twenty thirty forty fifty sixty seventy eighty ninety".split(), range(20, 100, 10), strict=True))
+HUNDREDS = dict(zip("сто двести триста четыреста пятьсот шестьсот семьсот восемьсот девятьсот".split(), range(100, 1000, 100), strict=True))
 # ---- Fixed values: letters that stand for digits inside numbers, and Latin letters that stand for Cyrillic ones inside words.
 DIGIT_LOOKALIKES = {"З": "3", "з": "3", "О": "0", "о": "0", "O": "0", "o": "0", "Q": "0", "l": "1", "I": "1", "|": "1"}
 LETTER_LOOKALIKES = str.maketrans("aceopxyABCEHKMOPTX", "асеорхуАВСЕНКМОРТХ")
@@ -88,16 +94,30 @@ _WORD = re.compile(r"[A-Za-zА-Яа-яЁё]+(?:-[A-Za-zА-Яа-яЁё]+)*")
 #: Ordinary words with the ending of a surname.
 NOT_SURNAMES = frozenset("один магазин готов здоров новый новая вчера очень причин машин корзин витрин половина цена часов месяцев рублей телефонов основа снова слева справа зимой готова здорова кроме лишнее мобильников bitcoin begin again login admin main plain mini even seven eleven".split())
 
+_CUES = r"зовут|продав(?:ец|ца|цу)|прода[её]т|спросить|спрашива\w+|уважением|контакт\w*|получател\w*|владел\w*|отправител\w*|обращаться\s+к|на\s+имя|фио|name\s+is|regards|seller|ask\s+for|contact|owner"
+_ANNOUNCED = re.compile(rf"(?<!\w)(?i:{_CUES})[\s:,—–-]+((?:[А-ЯЁ][а-яё]+(?:-[А-ЯЁ][а-яё]+)?)(?:[ ][А-ЯЁ][а-яё]+(?:-[А-ЯЁ][а-яё]+)?){{1,2}}|[A-Z][a-z]+(?:[ ][A-Z][a-z]+){{1,2}})(?![\w-])")
+_WITH_PATRONYMIC = re.compile(r"(?<![\w-])(?:[А-ЯЁ][а-яё]{2,}(?:-[А-ЯЁ][а-яё]+)?[ ])?[А-ЯЁ][а-яё]{2,}[ ][А-ЯЁ][а-яё]*(?:[оеё]вич|ьич|[оеё]вн|ичн)(?:а|у|ем|ы|е|ой)?(?![\w-])")
+_SHAPED = re.compile(r"(?<![\w-])([А-ЯЁ][а-яё]{2,})[ ]([А-ЯЁ][а-яё]{2,}(?:[оеё]в|[иы]н)(?:а|у|ым|ой)?|[А-ЯЁ][а-яё]{2,}(?:енко|швили|дзе))(?![\w-])")
+# ---- Fixed values: words before the name of a place, and towns that look like surnames.
+PLACE_WORDS = frozenset("россия рф город городе область области район районе республика край улица улице проспект площадь метро станция посёлок поселок село деревня шоссе переулок набережная бульвар мост".split())
+TOWN_SHAPES = frozenset("ростов саратов псков тамбов азов серов киров львов харьков чехов пушкин калинин гагарин камышин королёв королев дмитров серпухов могилёв челны магнитогорск".split())
+
 _EMAIL = re.compile(r"(?<![\w.+-])[a-z0-9][\w.+-]*@[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}(?![\w@-])", re.I)
 _AT = re.compile(r"\s*[(\[{<]\s*(?:at|собака|эт|dog)\s*[)\]}>]\s*|\s+(?:at|собака|dog)\s+|\s+@\s*|(?<=[\w])@\s+", re.I)
 _DOT = re.compile(r"\s*[(\[{<]\s*(?:dot|точка|тчк)\s*[)\]}>]\s*|\s+(?:dot|точка|тчк)\s+", re.I)
-_DIGIT_WORD = re.compile(rf"\b(?:{'|'.join(DIGIT_WORDS)})\b(?:[\s,.-]+(?=(?:{'|'.join(DIGIT_WORDS)})\b))?", re.I)
+_NUMBER = {w: int(d) for w, d in DIGIT_WORDS.items()} | TEENS | TENS | HUNDREDS
+_NUMBER_WORD = rf"(?:{'|'.join(sorted(_NUMBER, key=len, reverse=True))})"
+#: Words of numbers, with short figures only between them.
+_NUMBER_RUN = re.compile(rf"(?<!\w)(?:\+?[78][\s-]+)?{_NUMBER_WORD}(?:(?:[\s-]+\d{{1,3}})*[\s,.-]+{_NUMBER_WORD}(?!\w))+", re.I)
+_RUN_PART = re.compile(rf"{_NUMBER_WORD}|\d+", re.I)
 _GAP = r"[\s()\-–—.*]{0,3}"
 _PHONE = re.compile(rf"(?<![\w+])(?:\+?7|8){_GAP}\(?[3489]\d{_GAP}\d{_GAP}(?:\d{_GAP}){{6}}\d(?!\d)|(?<![\w+])8(?:[\s.-]?\d){{10}}(?!\d)|(?<![\w+\d])(?:\(?9\d\d\)?[\s.-]\d{{3}}[\s.-]\d\d[\s.-]\d\d)(?![\d-])|\+[1-9]\d{{0,2}}(?:[\s().-]{{0,2}}\d){{8,11}}(?!\d)")
 _BARE_PHONE = re.compile(r"(?:тел\w*|звон\w*|номер|call|phone|связь|писать\D{0,8}|вотсап|whatsapp|набрать)[\s.:№—-]{0,4}(9\d{9})(?!\d)", re.I)
-_NOT_PHONE = re.compile(r"(?:заказ\w*|накладн\w*|трек\w*|посылк\w*|отправлени\w*|imei|серийн\w*|артикул|инн|снилс|паспорт|загран|физлица|запрос\w*|request id|order|invoice|tracking|serial|s/n|код\w*|договор\w* №|id)[\s:№#.]*(?:номер|number|no\.?|№)?[\s:№#.\d]{0,8}$", re.I)
+_NOT_PHONE = re.compile(r"(?:заказ\w*|накладн\w*|трек\w*|посылк\w*|отправлени\w*|imei|серийн\w*|артикул|инн|снилс|паспорт|загран|физлица|запрос\w*|request id|order|invoice|tracking|serial|s/n|код\w*|договор\w* №|\bid)[\s:№#.]*(?:номер|number|no\.?|№)?[\s:№#.\d]{0,8}$", re.I)
 _MANY_DIGITS = re.compile(r"(?:[\dЗзОоOoQlI|][\s()\-–—.*+]{0,3}){10}")
 _DIGIT = re.compile(r"\d")
+#: Tokens of figures and look-alike letters with a figure first and two figures at least, or with figures on both sides.
+_FIGURES = re.compile(r"(?<![^\W\d_])(?=[^\W_]*\d[ЗзОоOoQlI|]*\d)[\dЗОOQI|][\dЗзОоOoQlI|]+(?![^\W\d_])")
 _BARE_ID = re.compile(r"\d{3}-\d{3}-\d{3}")
 
 _ID = re.compile(
@@ -107,9 +127,9 @@ _ID = re.compile(
     r"|\bpassport[\s:]*(?:no\.?|number|№|#)?[\s:]*[a-z]{0,2}\d{6,9}(?!\d)|\b(?:driver'?s?|driving)\s+licen[cs]e[\s:]*(?:no\.?|number)?[\s:]*[a-z]{0,3}\d{6,12}(?!\d)|\bполис\w*[\s:№]*(?:омс)?[\s:№]*\d{16}(?!\d)|\bssn[\s:#]*\d{3}-\d{2}-\d{4}(?!\d)",
     re.I,
 )
-_NUM = r"\d{1,4}\s?[а-яa-z]?(?:\s?[/кk-]\s?\d{1,4}[а-я]?)?(?![\wЗО]|[\s*.(–-]{1,2}\(?\d{3}|[\s*.(–-]{1,2}\d[\s*.(–-]\d[\s*.(–-]\d)(?:,?\s*(?:корп|стр|к|с)\.?\s*\d+[а-я]?)?"
+_NUM = r"\d{1,4}\s?[а-яa-z]?(?:\s?[/кk-]\s?\d{1,4}[а-я]?)?(?![\wЗО]|[\s*.(–-]\(?\d{3}[\s*.)–-]{1,2}\d|(?<=[78])[\s(-]{1,2}9\d{9}|[\s*.(–-]{1,2}\d[\s*.(–-]\d[\s*.(–-]\d)(?:,?\s*(?:корп|стр|к|с)\.?\s*\d+[а-я]?)?"
 _FLAT = r"(?:-\d{1,4}(?!\d))?(?:,?\s*(?:кв|квартира|под|подъезд|этаж|оф|офис)\.?\s*\d+)*"
-_TYPE = r"(?:ул(?:ица|ице|ицы|\.)?|пр-т|просп(?:ект\w*|\.)?|б-р|бул(?:ьвар\w*|\.)|пер(?:еулок|еулке|\.)?|ш(?:оссе|\.)|проезд\w*|пр-д|мкр(?:\.|-н)?|микрорайон\w*|наб(?:ережная|ережной|\.)|пл(?:ощадь|ощади|\.)|тракт\w*|аллея)"
+_TYPE = r"(?:ул(?:ица|ице|ицы|\.)?|пр-т|просп(?:ект\w*|\.)?|б-р|бул(?:ьвар\w*|\.|(?=\s))|пер(?:еулок|еулке|\.)?|ш(?:оссе|\.)|проезд\w*|пр-д|мкр(?:\.|-н)?|микрорайон\w*|наб(?:ережная|ережной|\.)|пл(?:ощадь|ощади|\.)|тракт\w*|аллея)"
 _HOUSE = r"(?:д\.?|дом|домом|стр\.?|корп\.?)"
 _STREET = r"[а-яё0-9][а-яё-]{2,}(?:\s[а-яё-]{3,})?"
 _ADDRESS = re.compile(
@@ -123,10 +143,10 @@ _ADDRESS = re.compile(
 
 EMAIL_T, SPELLED_T, ID_T, ADDRESS_T, NAME_T = 1, 2, 4, 8, 16
 _TRIGGERS: dict[str, int] = (
-    dict.fromkeys(("@", "собака", "(at", "[at", " at ", "(эт", " dog "), EMAIL_T)
-    | dict.fromkeys(("девять", "nine", "семь", "seven", "восемь", "eight", "ноль", "zero"), SPELLED_T)
-    | dict.fromkeys(("паспорт", "серия", "загран", "инн ", "инн:", "снилс", "удостоверен", "id card", "passport", "licen", "полис", "права", "ssn"), ID_T)
-    | dict.fromkeys(("ул.", "ул ", "улиц", "пр-т", "просп", "б-р", "бул.", "бульвар", "пер.", "переул", "ш.", "шоссе", "проезд", "пр-д", "мкр", "микрорайон", "наб.", "набереж", "пл.", "площад", "тракт", "аллея", "дом ", " кв ", "кв.", "кварт"), ADDRESS_T)
+    dict.fromkeys(("@", "собака", " at ", " dog ", *(f"{o}{w}" for o in "([{<" for w in ("at", "эт", "dog", " at", " эт", " dog"))), EMAIL_T)
+    | dict.fromkeys(_NUMBER, SPELLED_T)
+    | dict.fromkeys(("паспорт", "серия", "загран", "инн ", "инн:", "инн№", "снилс", "удостоверен", "id card", "idcard", "passport", "licen", "полис", "права", "ssn"), ID_T)
+    | dict.fromkeys(("ул.", "ул ", "улиц", "пр-т", "просп", "б-р", "бул.", "бул ", "бульвар", "пер.", "пер ", "переул", "ш.", "шоссе", "проезд", "пр-д", "мкр", "микрорайон", "наб.", "наб ", "набереж", "пл.", "площад", "тракт", "аллея", "дом", "кв ", "кв.", "кварт"), ADDRESS_T)
     | dict.fromkeys((" st", " ave", " road", " rd", " lane", " ln", " blvd", " boul", " drive", " court", " terr", " square"), ADDRESS_T)
 )
 
@@ -175,24 +195,49 @@ def _emails(text: str) -> Iterator[Span]:
             yield origin[m.start()], origin[m.end() - 1] + 1, "email"
 
 
-def _phones(text: str, spelled: bool) -> Iterator[Span]:
-    plain, origin = text, None
-    if spelled:
-        edits = [(m.start(), m.end(), DIGIT_WORDS[re.split(r"[\s,.-]", m.group().lower(), maxsplit=1)[0]]) for m in _DIGIT_WORD.finditer(text)]
-        if len(edits) >= 7:
-            plain, origin = _rewrite(text, edits)
+def _spelled(text: str) -> list[tuple[int, int, str]]:
+    """Edits that write runs of numbers in words as digits; a run needs six digits, as in "девятьсот двадцать один, ноль 5 ноль"."""
+    edits = []
+    for run in _NUMBER_RUN.finditer(text):
+        parts = list(_RUN_PART.finditer(run.group()))
+        groups: list[list] = []  # start, end, value, the power of ten that the next word must stay under
+        for m in parts:
+            word = m.group().lower()
+            if word.isdigit():
+                groups.append([m.start(), m.end(), word, 1])
+                continue
+            value = _NUMBER[word]
+            if groups and groups[-1][3] > 1 and 0 < value < groups[-1][3] and not isinstance(groups[-1][2], str):
+                groups[-1][1], groups[-1][2] = m.end(), groups[-1][2] + value
+            else:
+                groups.append([m.start(), m.end(), value, 1])
+            groups[-1][3] = 100 if value >= 100 else 10 if value >= 20 else 1
+        digits = "".join(str(g[2]) for g in groups)
+        if len(digits) >= 6:
+            at = run.start()
+            ends = [g[0] for g in groups[1:]] + [groups[-1][1]]
+            edits += [(at + g[0], at + end, str(g[2])) for g, end in zip(groups, ends, strict=True)]
+    return edits
+
+
+def _figures(text: str) -> str:
+    """Look-alike letters inside tokens of figures become figures, one for one."""
+
+    def plain(m: re.Match[str]) -> str:
+        return "".join(DIGIT_LOOKALIKES.get(c, c) for c in m.group())
+
+    return _FIGURES.sub(plain, text)
+
+
+def _phones(text: str, plain: str, back: Callable[[int, int], tuple[int, int]]) -> Iterator[Span]:
+    """Phones of the plain form, as spans of the source."""
     if not _MANY_DIGITS.search(plain):
         return
-    for letter, digit in DIGIT_LOOKALIKES.items():
-        plain = plain.replace(letter, digit)
-    found = [(m.start(), m.end()) for m in _PHONE.finditer(plain)] + [m.span(1) for m in _BARE_PHONE.finditer(plain)]
-    for start, end in found:
-        source = (start, end) if origin is None else (origin[start], origin[end])
-        if sum(c.isdigit() for c in text[slice(*source)]) < 6 and origin is None:
-            continue  # mostly letters: no number in the source
-        if _NOT_PHONE.search(text[max(0, source[0] - 40) : source[0]]):
+    for start, end in [(m.start(), m.end()) for m in _PHONE.finditer(plain)] + [m.span(1) for m in _BARE_PHONE.finditer(plain)]:
+        if _NOT_PHONE.search(plain[max(0, start - 40) : start]):
             continue
-        yield source[0], source[0] + len(text[slice(*source)].rstrip(" ,.-\n")), "phone"
+        first, last = back(start, start + len(plain[start:end].rstrip(" ,.-\n")))
+        yield first, first + len(text[first:last].rstrip(" ,.-\n")), "phone"
 
 
 def _names(text: str, low: str, ends: list[tuple[int, int]]) -> Iterator[Span]:
@@ -229,6 +274,24 @@ def _names(text: str, low: str, ends: list[tuple[int, int]]) -> Iterator[Span]:
             yield start - (len(before) - left.start()), end, "name"
 
 
+_ADJECTIVE = ("ий", "ый", "ой", "ая", "яя", "ое", "ые", "ие")
+
+
+def _shaped_names(text: str) -> Iterator[Span]:
+    """Names without a known given name: announced ones, those with a patronymic, and a word with a surname after it."""
+    for m in _ANNOUNCED.finditer(text):
+        first, second = m.group(1).lower().split()[:2]
+        named = first in GIVEN or not first.endswith(_ADJECTIVE) or _SURNAME_RE.fullmatch(second)
+        if named and not PLACE_WORDS & {first, second}:
+            yield m.start(1), m.end(1), "name"
+    for m in _WITH_PATRONYMIC.finditer(text):
+        yield m.start(), m.end(), "name"
+    for m in _SHAPED.finditer(text):
+        first, second = m.group(1).lower(), m.group(2).lower()
+        if first not in PLACE_WORDS and not first.endswith((*_ADJECTIVE, "ть", "те")) and second not in TOWN_SHAPES and second not in NOT_SURNAMES:
+            yield m.start(), m.end(), "name"
+
+
 def find(text: str | None) -> list[Span]:
     """Spans (start, end, kind) of personal data in the source text, in order and without overlap."""
     if not text:
@@ -247,18 +310,25 @@ def find(text: str | None) -> list[Span]:
     spans: list[Span] = []
     if marks & EMAIL_T:
         spans.extend(_emails(text))
-    digits = len(_DIGIT.findall(text))
+    edits = _spelled(text) if marks & SPELLED_T else []
+    plain, origin = _rewrite(text, edits) if edits else (text, None)
+    plain = _figures(plain)
+    digits = len(_DIGIT.findall(plain))
+
+    def back(start: int, end: int) -> tuple[int, int]:
+        return (start, end) if origin is None else (origin[start], origin[end])
+
     if digits:
-        if marks & ID_T or _BARE_ID.search(text):
-            spans.extend((m.start(), m.end(), "id_number") for m in _ID.finditer(text))
+        if marks & ID_T or _BARE_ID.search(plain):
+            spans.extend((*back(m.start(), m.end()), "id_number") for m in _ID.finditer(plain))
         if marks & ADDRESS_T:
-            spans.extend((m.start(), m.end(), "address") for m in _ADDRESS.finditer(text))
-        if digits >= 6 or marks & SPELLED_T:
-            spans.extend(_phones(text, bool(marks & SPELLED_T)))
-    elif marks & SPELLED_T:
-        spans.extend(_phones(text, True))
+            spans.extend((*back(m.start(), m.end()), "address") for m in _ADDRESS.finditer(plain))
+        if digits >= 6:
+            spans.extend(_phones(text, plain, back))
     if names or _TWO_INITIALS.search(text):
         spans.extend(_names(text, low, names))
+    known = [span for span in spans if span[2] == "name"]
+    spans.extend(span for span in _shaped_names(text) if not any(span[0] < end and start < span[1] for start, end, _ in known))
     if len(spans) < 2:
         return spans
     order = {kind: i for i, kind in enumerate(("email", "id_number", "address", "phone", "name"))}

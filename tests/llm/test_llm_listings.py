@@ -158,6 +158,11 @@ def test_residue_of_a_table(spark):
     ("Номер заказа 89603067190.", "Номер заказа 89603067190."), ("IMEI 892288418683308, трек 7627 7429 7961", "IMEI 892288418683308, трек 7627 7429 7961"), ("паспорт: 1234 № 567890", "[ID_NUMBER]"), ("СНИЛС 123-456-789 01.", "[ID_NUMBER]."), ("Для договора: инн физлица 001970 427089", "Для договора: [ID_NUMBER]"),
     ("Паспорт не прошу, договор не нужен.", "Паспорт не прошу, договор не нужен."), ("Забрать: ул. Липовая, д. 48, кв. 5.", "Забрать: [ADDRESS]."), ("дом 91а по ул. Рассветная", "[ADDRESS]"), ("тихая 124 корп. 1 кв 163", "[ADDRESS]"), ("Кузнечный б-р 137", "[ADDRESS]"), ("Pick up at 99 Heron Ave.", "Pick up at [ADDRESS]"),
     ("Рядом улица Полевая, парковка есть.", "Рядом улица Полевая, парковка есть."), ("007397, Липецк", "007397, Липецк"), ("С уважением, Зоя Мшенцова", "С уважением, [NAME]"), ("Спросить Т.Т. Тарпанова.", "Спросить [NAME]."), ("Пустовеев Е. М.", "[NAME]"), ("роман ожеговкин", "[NAME]"), ("Гречихвин Аристарх Игнатьевич", "[NAME]"),
+    ("паспорт 45О6 123456", "[ID_NUMBER]"), ("ИНН 77I234567890", "[ID_NUMBER]"), ("Паспорт четыре пять ноль шесть один два три четыре пять шесть, жду", "[ID_NUMBER], жду"), ("ИНН№ 770123456789", "[ID_NUMBER]"), ("IDcard AB1234567", "[ID_NUMBER]"),
+    ("ivan{at}mail.test", "[EMAIL]"), ("a.b [dog] mail (dot) test", "[EMAIL]"), ("Почта a@b.invalid 89467528436", "Почта [EMAIL] [PHONE]"), ("Звоните 897ЗЗЗОО6О4.", "Звоните [PHONE]."), ("восемь девятьсот двадцать один пятьсот тридцать сорок пять шестьдесят семь", "[PHONE]"),
+    ("дом 39, восемь девять четыре четыре три пять три ноль один девять один", "дом 39, [PHONE]"), ("Сорок два года, тридцать пять лет.", "Сорок два года, тридцать пять лет."), ("б-р Лесной, 80к2-181, Омск", "[ADDRESS], Омск"), ("Липовая ул., 72. 89418213787", "[ADDRESS]. [PHONE]"), ("пер Садовый 5", "[ADDRESS]"),
+    ("бул Мира 5", "[ADDRESS]"), ("Меня зовут Эльвира Сафина, жду", "Меня зовут [NAME], жду"), ("Продавец: Нурлан Бекетов.", "Продавец: [NAME]."), ("Ask for John Smith please", "Ask for [NAME] please"), ("Нурлан Бекетович", "[NAME]"), ("Эльвира Сафина.", "[NAME]."),
+    ("Россия Саратов", "Россия Саратов"), ("Продавец: Нижний Новгород", "Продавец: Нижний Новгород"), ("Осмотр Ткацкий б-р 58 после 18:00", "Осмотр [ADDRESS] после 18:00"), ("Спросить Верескунова Т. Е.", "Спросить [NAME]"),
     ("Tikhon Mshentsov", "[NAME]"), ("Спросить Сергея.", "Спросить Сергея."), ("Для Марии отложил.", "Для Марии отложил."), ("Спасибо Ольге за упаковку.", "Спасибо Ольге за упаковку."), ("", ""), (None, None), ("слово " * 20_000, "слово " * 20_000),
 ])
 def test_masking(text, masked):
