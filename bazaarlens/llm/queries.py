@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import gazetteer, packing, pii, products, rank_summary, reading, residue, tokens, truth
-from bazaarlens.session import small_side
+from bazaarlens.session import cut_lineage, small_side
 from bazaarlens.sources.tables import table
 
 #: Percentiles that the price queries report.
@@ -99,6 +99,15 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return p5_residue(spark, folder).select("listing_row", "field_name").distinct()
 
 
+def p5_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the fields that detectors flag, by field and kind, those that the comparison of slug, title and body finds without any list of words; kind 'none' is what it finds alone."""
+    found = cut_lineage(p5_residue(spark, folder).distinct())
+    alone = found.where("evidence = 'comparison'").select("listing_row", "field_name").distinct().withColumn("compared", F.lit(1))
+    known = found.where("evidence = 'detector'").select("listing_row", "field_name", "kind")
+    both = known.join(alone, ["listing_row", "field_name"], "full").select("field_name", F.coalesce("kind", F.lit("none")).alias("kind"), "compared")
+    return both.groupBy("field_name", "kind").agg(F.count("*").alias("fields"), F.count("compared").alias("compared"))
+
+
 def p5_clean_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of raw_listings without residue."""
     return residue.exclude(table(spark, folder, "raw_listings"), "listing_row", "title", "description", "listing_url")

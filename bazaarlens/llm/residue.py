@@ -1,15 +1,22 @@
 """Problem 5: template residue, filler and error pages in place of a seller's words.
 
-Every field goes through detectors for unfilled placeholders, filler, printed empty values, error
-and blocking messages and script notices. Evidence that is weak on its own is combined: a title
-that shares no product term with the address slug (mismatch) and that stands on several different
-advertisements of one host (duplicated, low in information) is flagged although no detector knows
-its wording. Detectors are row-local; only the few mismatched titles are counted across rows.
-Bodies are judged by the detectors alone: most sellers' bodies repeat no term of title or slug, and
-their stock phrases stand on many advertisements of a host, so that this evidence says nothing there.
-
-Defined results: null and blank fields are never flagged; a missing address gives no mismatch;
-one row for each flagged field and kind; repeated input rows give repeated results.
+Two kinds of evidence are put together. Detectors know unfilled placeholders, filler, printed empty
+values, error and blocking messages and script notices; they are row-local. The comparison knows no
+wording at all: it compares the terms of address slug, title and body.
+
+1. A title without any product term under a slug that has one is a mismatch. Mismatched titles of one
+   wording that stand on several advertisements of a host are low-information responses.
+2. Their terms, against the terms of bodies under titles that do name their product, give each term a
+   log-odds weight: how much likelier it is in a response of the site than in a seller's words.
+3. Sentences of bodies that stand on several advertisements of a host, share no term with title and
+   slug in most places where they stand, and whose terms weigh ``least_weight`` on the average are
+   responses too. Sellers' stock phrases repeat as often, but their terms weigh little.
+
+All counts are over all rows, by partial aggregates; no wording and no host is gathered in one task.
+
+Defined results: null and blank fields are never flagged; a missing address gives no comparison for
+its row; one row for each flagged field, kind and evidence; repeated input rows give repeated
+results of the detectors; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,10 +26,10 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.session import cut_lineage
+from bazaarlens.session import cut_lineage, small_side
 
 # ---- Fixed values: names of listing fields that a template may leave unfilled.
 SLOTS = (
@@ -65,10 +72,10 @@ LABELS = r"(?:iphone|apple|память|цвет|состояние|батаре
 
 _SLOT = "|".join(sorted(map(re.escape, SLOTS), key=len, reverse=True))
 _PATH = rf"(?:(?:{_SLOT})(?:[._](?:{_SLOT}))*|[a-z]+(?:[._][a-z]+)+)"
-_ANY = r"[\w.:|' -]{1,40}?"
+_ANY = r"[\w.:|' -]+?"
 _PLACEHOLDER = re.compile(
-    rf"\{{\{{\s*{_ANY}\s*\}}\}}|\{{%\s*{_ANY}\s*%\}}|<%=?\s*{_ANY}\s*%>|\$\{{\s*{_ANY}\s*\}}|@@{_ANY}@@|(?<!\w)__[^\W_]{_ANY}__(?!\w)|\[\[\s*{_ANY}\s*\]\]|<<\s*{_PATH}\s*>>"
-    rf"|\{{\d+:[^{{}}\n]{{1,40}}\}}|\[(?:вставьте|insert|укажите|введите)[: ][^\]\n]{{1,40}}\]"
+    rf"\{{\{{[^{{}}\n]*\w[^{{}}\n]*\}}\}}|\{{%[^%\n]*\w[^%\n]*%\}}|<%[^%\n]*\w[^%\n]*%>|\$\{{[^{{}}\n]*\w[^{{}}\n]*\}}|@@{_ANY}@@|(?<!\w)__[^\W_]{_ANY}__(?!\w)|\[\[[^\[\]\n]*\w[^\[\]\n]*\]\]|<<\s*{_PATH}\s*>>"
+    rf"|\{{\d+:[^{{}}\n]+\}}|\[(?:вставьте|insert|укажите|введите)[: ][^\]\n]+\]"
     rf"|\{{\s*{_PATH}\s*\}}|\[\s*{_PATH}\s*\]|<\s*{_PATH}\s*>|#{_PATH}#|%{_PATH}%|(?<!\w):{_PATH}:(?!\w)|\$(?:{_PATH})\b",
     re.I,
 )
@@ -81,8 +88,8 @@ _EMPTY_LABEL = re.compile(rf"\b{LABELS}\s*[:—=-]?\s*{EMPTY}(?![\w'])|#n/a|#с
 _FILLER = re.compile("|".join(map(re.escape, sorted(FILLER, key=len, reverse=True))) + r"|qwe\w*|asd\w*|zxc\w*|фыв\w*|йцу\w*|ячс\w*|1q2\w*|xxx+|ааа+")
 _FILLER_PART = re.compile(rf"^(?:(?:{_FILLER.pattern})(?!\w)[\W_]*)+\d*$")
 _PART = re.compile(r"[.!?;,…]+(?:\s+|$)|\n+")
-_PRODUCT = re.compile(r"[ij1l]?\s*-?phone|айфон|ифон|apple|смартфон|телефон|\b(?:xr|xs|se)\b|\b\d{1,2}\s*(?:pro|про|plus|плюс|mini|мини)\b", re.I)
-_URL = re.compile(r"^[a-z]+://([^/?#]+)/?([^?#]*)", re.I)
+# ---- Fixed values: terms of the products that are sold here.
+PRODUCT = r"(?iU)[ij1l]?\s*-?phone|айфон|ифон|apple|смартфон|телефон|\b(?:xr|xs|se)\b|\b\d{1,2}\s*(?:pro|про|plus|плюс|mini|мини)\b"
 
 #: One of these stands in every text that a message, script, filler or empty-value detector can match.
 TRIGGERS = (
@@ -127,38 +134,72 @@ def detect(text: str) -> set[str]:
     return kinds
 
 
-def _host_and_slug(url: str | None) -> tuple[str, str]:
-    m = _URL.match(url.strip()) if url else None
-    return (m.group(1).lower(), m.group(2).lower()) if m else ("", "")
+def _plain(text: Column) -> Column:
+    """Lower case, figures as 0, one blank between words, no closing marks."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(text), r"\d+", "0"), r"(?U)\s+", " "), r"^[ .!?;…]+|[ .!?;…]+$", "")
 
 
-def flag_fields(rows: DataFrame, id_col: str, title_col: str, body_col: str, url_col: str, least_copies: int = 3) -> DataFrame:
-    """Columns id, field_name, kind, evidence ('detector' or 'mismatch+duplicates')."""
-    id_type = rows.schema[id_col].dataType.simpleString()
-    schema = f"id {id_type}, field_name string, kind string, host string, wording string"
+def _terms(text: Column) -> Column:
+    """Distinct words of two letters or more."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{2,}"), F.lit(0)))
+
+
+def _detected(rows: DataFrame) -> DataFrame:
+    """What the detectors find: id, field_name, kind."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for key, title, body, url in zip(batch["id"], batch["title"], batch["body"], batch["url"], strict=True):
-                found = detect(title) if title and not title.isspace() else None
-                if found:
-                    out.extend((key, "title", kind, None, None) for kind in found)
-                elif found is not None and not _PRODUCT.search(title):
-                    host, slug = _host_and_slug(url)
-                    if _PRODUCT.search(slug):
-                        out.append((key, "title", "mismatch", host, re.sub(r"\d+", "0", " ".join(title.lower().split()))))
-                if body and not body.isspace():
-                    out.extend((key, "description", kind, None, None) for kind in detect(body))
-            yield pd.DataFrame(out, columns=["id", "field_name", "kind", "host", "wording"])
-
-    found = rows.select(F.col(id_col).alias("id"), F.col(title_col).alias("title"), F.col(body_col).alias("body"), F.col(url_col).alias("url")).mapInPandas(run, schema)
-    found = cut_lineage(found)  # a small part of the rows, read three times below
-    sure = found.where(F.col("kind") != "mismatch").withColumn("evidence", F.lit("detector"))
-    doubtful = found.where(F.col("kind") == "mismatch")
-    repeated = doubtful.groupBy("host", "wording").agg(F.approx_count_distinct("id").alias("_copies")).where(F.col("_copies") >= least_copies)
-    unsure = doubtful.join(repeated, ["host", "wording"], "left_semi").withColumn("evidence", F.lit("mismatch+duplicates"))
-    return sure.unionByName(unsure.select(sure.columns)).select(F.col("id").alias(id_col), "field_name", "kind", "evidence")
+            for key, title, body in zip(batch["id"], batch["title"], batch["body"], strict=True):
+                for field_name, text in (("title", title), ("description", body)):
+                    if text and not text.isspace():
+                        out.extend((key, field_name, kind) for kind in detect(text))
+            yield pd.DataFrame(out, columns=["id", "field_name", "kind"])
+
+    return rows.select("id", "title", "body").mapInPandas(run, f"id {rows.schema['id'].dataType.simpleString()}, field_name string, kind string")
+
+
+def _repeated(wordings: DataFrame, least_copies: int) -> DataFrame:
+    """host, wording, n, shared of wordings that stand in ``least_copies`` rows and on different advertisements of a host."""
+    counted = wordings.groupBy("host", "wording").agg(F.count("*").alias("n"), F.min("slug").alias("_a"), F.max("slug").alias("_b"), F.avg("overlap").alias("shared"))
+    return counted.where((F.col("n") >= least_copies) & (F.col("_a") != F.col("_b"))).select("host", "wording", "n", "shared")
+
+
+def _compared(rows: DataFrame, least_copies: int, least_weight: float) -> DataFrame:
+    """What the comparison of slug, title and body finds: id, field_name, kind."""
+    url = F.coalesce(F.trim("url"), F.lit(""))
+    base = rows.select(
+        "id", "title", "body", F.lower(F.regexp_extract(url, r"^[A-Za-z]+://([^/?#]+)", 1)).alias("host"), F.lower(F.regexp_extract(url, r"^[A-Za-z]+://[^/?#]+/?([^?#]*)", 1)).alias("slug"), F.coalesce(F.col("title").rlike(PRODUCT), F.lit(False)).alias("named"),
+    )
+    titles = cut_lineage(base.where(~F.col("named") & F.col("title").rlike(r"(?U)\S") & F.col("slug").rlike(PRODUCT)).select("id", "host", "slug", _plain(F.col("title")).alias("wording"), F.lit(0).alias("overlap")))  # the few mismatched ones
+    responses = cut_lineage(_repeated(titles, least_copies))
+    by_title = titles.join(small_side(responses), ["host", "wording"], "left_semi").select("id", F.lit("title").alias("field_name"), F.lit("mismatch").alias("kind"))
+    rows_of_responses = responses.agg(F.sum("n")).first()[0]
+    if not rows_of_responses:
+        return by_title
+
+    said = responses.select("n", F.explode(_terms(F.col("wording"))).alias("term")).groupBy("term").agg(F.sum("n").alias("p"))
+    bodies = base.where(F.col("body").rlike(r"(?U)\S"))
+    sellers = bodies.where("named").agg(F.count("*")).first()[0]
+    usual = bodies.where("named").select(F.explode(_terms(F.col("body"))).alias("term")).groupBy("term").agg(F.count("*").alias("q"))
+    sentence = F.explode(F.split("body", r"(?U)[.!?;…]+\s+|\n+"))
+    sentences = bodies.where("slug != ''").select("id", "host", "slug", F.array_union(_terms(F.col("title")), _terms(F.col("slug"))).alias("own"), sentence.alias("sentence"))
+    sentences = sentences.select("id", "host", "slug", _plain(F.col("sentence")).alias("wording"), F.coalesce(F.arrays_overlap("own", _terms(F.col("sentence"))), F.lit(False)).cast("int").alias("overlap"))
+    repeated = _repeated(sentences.where(F.length("wording") > 1), least_copies).where("shared < 0.5").select("host", "wording", F.explode(_terms(F.col("wording"))).alias("term"))
+    even = 1.0 / (rows_of_responses + 1)  # what a term that never occurs counts for
+    weight = F.log((F.coalesce("p", F.lit(0)) * even + even) / (F.coalesce("q", F.lit(0)) / float(sellers + 1) + even))
+    weighed = repeated.join(small_side(said), "term", "left").join(usual, "term", "left").groupBy("host", "wording").agg(F.avg(weight).alias("weight"))
+    found = cut_lineage(weighed.where(F.col("weight") >= least_weight).select("host", "wording"))
+    by_body = sentences.select("id", "host", "wording").join(small_side(found), ["host", "wording"], "left_semi").select("id", F.lit("description").alias("field_name"), F.lit("response_terms").alias("kind")).distinct()
+    return by_title.unionByName(by_body)
+
+
+def flag_fields(rows: DataFrame, id_col: str, title_col: str, body_col: str, url_col: str, least_copies: int = 3, least_weight: float = 1.25) -> DataFrame:
+    """Columns id, field_name, kind, evidence ('detector' or 'comparison')."""
+    plain = rows.select(F.col(id_col).alias("id"), F.col(title_col).alias("title"), F.col(body_col).alias("body"), F.col(url_col).alias("url"))
+    sure = _detected(plain).withColumn("evidence", F.lit("detector"))
+    compared = _compared(plain, least_copies, least_weight).withColumn("evidence", F.lit("comparison"))
+    return sure.unionByName(compared).select(F.col("id").alias(id_col), "field_name", "kind", "evidence")
 
 
 def exclude(rows: DataFrame, id_col: str, title_col: str, body_col: str, url_col: str, least_copies: int = 3) -> DataFrame:

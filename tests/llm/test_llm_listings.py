@@ -144,11 +144,30 @@ def test_residue_of_a_table(spark):
     rows = [(i, "Совсем другое", "ок", f"https://a.x/iphone_{i}") for i in range(4)] + [(10, "iPhone 13", None, "https://a.x/iphone_10"), (11, None, "  ", None), (12, "Раз такое", "{{ x }}", "https://a.x/iphone_12"), (12, "Раз такое", "{{ x }}", "https://a.x/iphone_12")]
     df = spark.createDataFrame(rows, "id long, title string, body string, url string").withColumn("kind", F.lit("clash"))
     found = residue.flag_fields(df, "id", "title", "body", "url").distinct().collect()
-    assert {(r["id"], r["field_name"], r["evidence"]) for r in found} == {(i, "title", "mismatch+duplicates") for i in range(4)} | {(12, "description", "detector")}
+    assert {(r["id"], r["field_name"], r["kind"], r["evidence"]) for r in found} == {(i, "title", "mismatch", "comparison") for i in range(4)} | {(12, "description", "placeholder", "detector")}
     assert sorted(r["id"] for r in residue.exclude(df, "id", "title", "body", "url").collect()) == [10, 11]
     assert residue.flag_fields(df.limit(0), "id", "title", "body", "url").count() == 0
 
 
+def test_wordings_that_no_list_knows(spark):
+    """Responses in the titles of a host teach the terms by which responses in bodies are known; stock phrases of sellers repeat as often."""
+    unknown = ["This content has gone away", "Oops! Nothing lives at this place"]
+    stock = ["Обычное б/у, смотрите фото", "Есть коробка", "Пишите в чат", "Чехол дам"]
+    rows = [(i, f"iPhone {11 + i % 5}", ". ".join(stock[i % 4 : i % 4 + 2]), f"https://a.x/omsk/iphone_{i}") for i in range(300)]
+    rows += [(1000 + i, unknown[i % 2], stock[0], f"https://a.x/omsk/iphone_{1000 + i}") for i in range(12)]
+    rows += [(2000 + i, "iPhone 12", f"{stock[1]}. {unknown[i % 2]}.", f"https://a.x/omsk/iphone_{2000 + i}") for i in range(10)]
+    rows += [(3000, "iPhone 12", unknown[0], "https://other.x/iphone_3000")]  # elsewhere, once
+    assert not any(residue.detect(u) for u in unknown)
+    df = spark.createDataFrame(rows, "id long, title string, body string, url string")
+    found = {(r["id"], r["field_name"]) for r in residue.flag_fields(df, "id", "title", "body", "url").collect()}
+    assert found == {(1000 + i, "title") for i in range(12)} | {(2000 + i, "description") for i in range(10)}
+
+
+@pytest.mark.parametrize("text", ["{{ user.name | default: 'здесь стоит очень длинное значение по умолчанию, а то и два' }}", "<%= render partial: 'listing/description', locals: { item: current_item } %>", "[вставьте: описание товара не короче пятидесяти знаков, пожалуйста]"])
+def test_long_placeholders(text):
+    assert residue.detect(text) == {"placeholder"}
+
+
 # ---- problem 6
 
 
