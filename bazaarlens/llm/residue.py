@@ -6,11 +6,11 @@ wording at all: it compares the terms of address slug, title and body.
 
 1. A title without any product term under a slug that has one is a mismatch. Mismatched titles of one
    wording that stand on several advertisements of a host are low-information responses.
-2. Their terms, against the terms of bodies under titles that do name their product, give each term a
+2. Their terms, against those of the sentences under titles that do name their product, give each term a
    log-odds weight: how much likelier it is in a response of the site than in a seller's words.
-3. Sentences of bodies that stand on several advertisements of a host, share no term with title and
-   slug in most places where they stand, and whose terms weigh ``least_weight`` on the average are
-   responses too. Sellers' stock phrases repeat as often, but their terms weigh little.
+3. Sentences of bodies that stand on several advertisements of a host and whose terms weigh
+   ``least_weight`` on the average are responses too wherever they share no term with title and slug.
+   Sellers' stock phrases repeat as often, but their terms weigh little.
 
 All counts are over all rows, by partial aggregates; no wording and no host is gathered in one task.
 
@@ -135,8 +135,12 @@ def detect(text: str) -> set[str]:
 
 
 def _plain(text: Column) -> Column:
-    """Lower case, figures as 0, one blank between words, no closing marks."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(text), r"\d+", "0"), r"(?U)\s+", " "), r"^[ .!?;…]+|[ .!?;…]+$", "")
+    """Lower case, figures as 0, one blank between the words of a line."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), r"\d+", "0"), r"(?U)[^\S\n]+", " ")
+
+
+def _trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(" .!?;…\n\r\t"))
 
 
 def _terms(text: Column) -> Column:
@@ -159,38 +163,36 @@ def _detected(rows: DataFrame) -> DataFrame:
     return rows.select("id", "title", "body").mapInPandas(run, f"id {rows.schema['id'].dataType.simpleString()}, field_name string, kind string")
 
 
-def _repeated(wordings: DataFrame, least_copies: int) -> DataFrame:
-    """host, wording, n, shared of wordings that stand in ``least_copies`` rows and on different advertisements of a host."""
-    counted = wordings.groupBy("host", "wording").agg(F.count("*").alias("n"), F.min("slug").alias("_a"), F.max("slug").alias("_b"), F.avg("overlap").alias("shared"))
-    return counted.where((F.col("n") >= least_copies) & (F.col("_a") != F.col("_b"))).select("host", "wording", "n", "shared")
-
-
 def _compared(rows: DataFrame, least_copies: int, least_weight: float) -> DataFrame:
     """What the comparison of slug, title and body finds: id, field_name, kind."""
     url = F.coalesce(F.trim("url"), F.lit(""))
     base = rows.select(
         "id", "title", "body", F.lower(F.regexp_extract(url, r"^[A-Za-z]+://([^/?#]+)", 1)).alias("host"), F.lower(F.regexp_extract(url, r"^[A-Za-z]+://[^/?#]+/?([^?#]*)", 1)).alias("slug"), F.coalesce(F.col("title").rlike(PRODUCT), F.lit(False)).alias("named"),
     )
-    titles = cut_lineage(base.where(~F.col("named") & F.col("title").rlike(r"(?U)\S") & F.col("slug").rlike(PRODUCT)).select("id", "host", "slug", _plain(F.col("title")).alias("wording"), F.lit(0).alias("overlap")))  # the few mismatched ones
-    responses = cut_lineage(_repeated(titles, least_copies))
+    counts = [F.count("*").alias("n"), F.min("slug").alias("first"), F.max("slug").alias("last")]
+    repeated = (F.col("n") >= least_copies) & (F.col("first") != F.col("last"))
+    titles = cut_lineage(base.where(~F.col("named") & F.col("title").rlike(r"(?U)\S") & F.col("slug").rlike(PRODUCT)).select("id", "host", "slug", _trimmed(_plain(F.col("title"))).alias("wording")))  # the few mismatched ones
+    responses = cut_lineage(titles.groupBy("host", "wording").agg(*counts).where(repeated))
     by_title = titles.join(small_side(responses), ["host", "wording"], "left_semi").select("id", F.lit("title").alias("field_name"), F.lit("mismatch").alias("kind"))
-    rows_of_responses = responses.agg(F.sum("n")).first()[0]
-    if not rows_of_responses:
+    total = responses.agg(F.sum("n")).first()[0]
+    if not total:
         return by_title
 
-    said = responses.select("n", F.explode(_terms(F.col("wording"))).alias("term")).groupBy("term").agg(F.sum("n").alias("p"))
-    bodies = base.where(F.col("body").rlike(r"(?U)\S"))
-    sellers = bodies.where("named").agg(F.count("*")).first()[0]
-    usual = bodies.where("named").select(F.explode(_terms(F.col("body"))).alias("term")).groupBy("term").agg(F.count("*").alias("q"))
-    sentence = F.explode(F.split("body", r"(?U)[.!?;…]+\s+|\n+"))
-    sentences = bodies.where("slug != ''").select("id", "host", "slug", F.array_union(_terms(F.col("title")), _terms(F.col("slug"))).alias("own"), sentence.alias("sentence"))
-    sentences = sentences.select("id", "host", "slug", _plain(F.col("sentence")).alias("wording"), F.coalesce(F.arrays_overlap("own", _terms(F.col("sentence"))), F.lit(False)).cast("int").alias("overlap"))
-    repeated = _repeated(sentences.where(F.length("wording") > 1), least_copies).where("shared < 0.5").select("host", "wording", F.explode(_terms(F.col("wording"))).alias("term"))
-    even = 1.0 / (rows_of_responses + 1)  # what a term that never occurs counts for
+    spoken = base.where(F.col("body").isNotNull()).select("id", "host", "slug", "title", "named", F.explode(F.split(_plain(F.col("body")), r"[.!?;…]+\s+|\n+")).alias("wording")).withColumn("wording", _trimmed(F.col("wording"))).where(F.length("wording") > 1)
+    # the distinct sentences of each host: everything below but the last step is taken from them
+    sentences = cut_lineage(spoken.groupBy("host", "wording").agg(*counts, F.count_if("named").alias("by_sellers")))
+    terms = F.explode(_terms(F.col("wording"))).alias("term")
+    said = responses.select("n", terms).groupBy("term").agg(F.sum("n").alias("p"))
+    usual = sentences.where("by_sellers > 0").select("by_sellers", terms).groupBy("term").agg(F.sum("by_sellers").alias("q"))
+    sellers = base.agg(F.count_if(F.col("named") & F.col("body").isNotNull())).first()[0]
+    even = 1.0 / (total + 1)  # what a term that never occurs counts for
     weight = F.log((F.coalesce("p", F.lit(0)) * even + even) / (F.coalesce("q", F.lit(0)) / float(sellers + 1) + even))
-    weighed = repeated.join(small_side(said), "term", "left").join(usual, "term", "left").groupBy("host", "wording").agg(F.avg(weight).alias("weight"))
-    found = cut_lineage(weighed.where(F.col("weight") >= least_weight).select("host", "wording"))
-    by_body = sentences.select("id", "host", "wording").join(small_side(found), ["host", "wording"], "left_semi").select("id", F.lit("description").alias("field_name"), F.lit("response_terms").alias("kind")).distinct()
+    open_ones = sentences.where(repeated & (F.col("host") != "")).select("host", "wording", terms)
+    weighed = open_ones.join(small_side(said), "term", "left").join(usual, "term", "left").groupBy("host", "wording").agg(F.avg(weight).alias("weight"))
+    found = cut_lineage(weighed.where(F.col("weight") >= least_weight).select("host", "wording", "weight"))
+    strange = ~F.arrays_overlap(F.array_union(_terms(F.coalesce("title", F.lit(""))), _terms(F.col("slug"))), _terms(F.col("wording")))
+    # bound to a column of the found sentences, so that it is not tried on all others before the join
+    by_body = spoken.join(small_side(found), ["host", "wording"]).where(F.when(F.col("weight").isNotNull(), strange)).select("id", F.lit("description").alias("field_name"), F.lit("response_terms").alias("kind")).distinct()
     return by_title.unionByName(by_body)
 
 
