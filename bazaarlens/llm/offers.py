@@ -47,15 +47,16 @@ REQUIRED = {
 ATTRIBUTES = ("kind", "model", "storage", "colour", "grade", "material", "power", "capacity", "length", "thickness", "connector")
 BRAND_KEYS, LINE_KEYS = ("бренд", "производитель"), ("серия", "линейка")
 
-_NOISE = re.compile("|".join(map(re.escape, sorted(NOISE, key=len, reverse=True))), re.I)
-_MODEL = re.compile(r"(?:\bapple\s+)?(?:\bi\s?phone|\bайфон|\bip(?=\s?(?:\d|x|s)))\s*[- ]?\s*(se\s*20\d\d|se|xs\s*max|x[rs]?|\d{1,2}(?:\s?e(?!\w))?)(?!\w)((?:\s+(?:pro|max|mini|plus|про|макс|мини|плюс)\b)*)", re.I)
+# all patterns are for text in lower case
+_NOISE = re.compile("|".join(re.escape(w.lower()) for w in sorted(NOISE, key=len, reverse=True)))
+_MODEL = re.compile(r"(?:\bapple\s+)?(?:\bi\s?phone|\bайфон|\bip(?=\s?(?:\d|x|s)))\s*[- ]?\s*(se\s*20\d\d|se|xs\s*max|x[rs]?|\d{1,2}(?:\s?e(?!\w))?)(?!\w)((?:\s+(?:pro|max|mini|plus|про|макс|мини|плюс)\b)*)")
 _NUM = r"(\d+(?:[  ]\d{3})*(?:[.,]\d+)?)"
-_STORAGE = re.compile(rf"(?<![\d.,]){_NUM}\s*(тб|tb|терабайт\w*|гб|gb|гигабайт\w*|мб|mb|мегабайт\w*)\b", re.I)
-_CAPACITY = re.compile(rf"(?<![\d.,]){_NUM}\s*(мач|mah|ma/h|mа/h|ач|ah|а/ч)(?!\w)", re.I)
-_POWER = re.compile(rf"(?<![\d.,]){_NUM}\s*(вт|ватт|watt|w)\b", re.I)
-_THICK = re.compile(rf"(?<![\d.,]){_NUM}\s*(мм|mm|мкм|um)\b", re.I)
-_LENGTH = re.compile(rf"(?<![\d.,]){_NUM}\s*(метров|метра|метр|м|m|см|cm|мм|mm)\b", re.I)
-_GRADE = re.compile(r"\b(?:grade|грейд|класс|кл)\.?\s*([abcавс])\b", re.I)
+_STORAGE = re.compile(rf"(?<![\d.,]){_NUM}\s*(тб|tb|терабайт\w*|гб|gb|гигабайт\w*|мб|mb|мегабайт\w*)\b")
+_CAPACITY = re.compile(rf"(?<![\d.,]){_NUM}\s*(мач|mah|ma/h|mа/h|ач|ah|а/ч)(?!\w)")
+_POWER = re.compile(rf"(?<![\d.,]){_NUM}\s*(вт|ватт|watt|w)\b")
+_THICK = re.compile(rf"(?<![\d.,]){_NUM}\s*(мм|mm|мкм|um)\b")
+_LENGTH = re.compile(rf"(?<![\d.,]){_NUM}\s*(метров|метра|метр|м|m|см|cm|мм|mm)\b")
+_GRADE = re.compile(r"\b(?:grade|грейд|класс|кл)\.?\s*([abcавс])\b")
 _WORD = re.compile(r"[A-Za-zА-Яа-яЁё]+(?:[-'][A-Za-zА-Яа-яЁё]+)*")
 _LATIN = dict(zip("абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "a b v g d e e j z i i k l m n o p r s t u f h ts ch sh sch _ i _ e u a".split(), strict=True))
 
@@ -72,10 +73,11 @@ _KIND_WORD = {w: k for k, words in KINDS.items() for w in words if " " not in w}
 _LONG = {w: ("colour", c) for w, c in _COLOUR.items() if len(w) >= 5} | {w: ("material", c) for w, c in _MATERIAL.items() if len(w) >= 5} | {w: ("kind", k) for w, k in _KIND_WORD.items() if len(w) >= 5}
 
 
+@lru_cache(200_000)
 def spelled(word: str) -> str:
     """One Latin spelling of a name word in either script."""
     w = "".join(_LATIN.get(c, c) for c in word.lower()).replace("_", "").replace("-", "").replace("'", "")
-    for a, b in (("qu", "kv"), ("x", "ks"), ("w", "v"), ("ck", "k"), ("c", "k"), ("q", "k"), ("zh", "j"), ("kh", "h"), ("ya", "a"), ("yu", "u"), ("yo", "e"), ("ye", "e"), ("y", "i"), ("ph", "f")):
+    for a, b in (("qu", "kv"), ("x", "ks"), ("w", "v"), ("ck", "k"), ("c", "k"), ("q", "k"), ("zh", "j"), ("kh", "h"), ("ya", "a"), ("yu", "u"), ("yo", "e"), ("ye", "e"), ("y", "i"), ("ph", "f"), ("dj", "g")):
         w = w.replace(a, b)
     return re.sub(r"(.)\1+", r"\1", w)
 
@@ -116,7 +118,7 @@ def _params(params: str | None) -> str:
 def read(title: str | None, description: str | None, params: str | None) -> Offer:
     """The offer that a title, a description and JSON parameters describe together."""
     text = " \n ".join(t for t in (title, description, _params(params)) if t)
-    text = _NOISE.sub(" ", text).lower()
+    text = _NOISE.sub(" ", text.lower())
     found: dict[str, str | None] = dict.fromkeys(ATTRIBUTES)
 
     def take(pattern: re.Pattern[str], text: str, use) -> str:  # noqa: ANN001
@@ -147,28 +149,26 @@ def read(title: str | None, description: str | None, params: str | None) -> Offe
     text = take(_THICK if measure == "thickness" else _LENGTH, text, lambda m: put(measure, _short(_number(m.group(1)) * scale.get(m.group(2), 1000.0))))
     name: list[str] = []
     apple = False
-    held = -1  # end of a short name word that the next one may belong to
-    for m in _WORD.finditer(text):
-        word = m.group()
+    unclear: list[str] = []  # words that may be slips of a vocabulary
+    for word in _WORD.findall(text):
         if word in STOP:
             continue
         if word == "apple":
             apple = True
-            continue
-        if word in _COLOUR:
+        elif word in _COLOUR:
             put("colour", _COLOUR[word])
         elif word in _MATERIAL:
             put("material", _MATERIAL[word])
-        elif len(word) >= 4 and (near := _misspelt(word)):
-            put(*near)
+        elif len(word) >= 4 and _misspelt(word):
+            unclear.append(word)
         elif len(word) > 1:
-            plain = spelled(word)
-            if held == m.start() - 1 and len(plain) == 4:
-                name[-1] += plain  # a name written as two short words
-                held = -1
-            else:
-                name.append(plain)
-                held = m.end() if len(plain) == 4 else -1
+            name.append(spelled(word))
+    for word in unclear:  # only for what is named nowhere else; other slips are words of the name
+        attribute, value = _misspelt(word)
+        if found[attribute] in (None, value):
+            found[attribute] = value
+        else:
+            name.append(spelled(word))
     if found["kind"] is None and (apple or found["storage"] or found["grade"]):
         found["kind"] = "phone"
     wanted = {"kind", *REQUIRED.get(found["kind"] or "", ATTRIBUTES)}

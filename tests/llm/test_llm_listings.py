@@ -260,7 +260,7 @@ def test_index_recall(catalogue):
 
 def test_probes_rise_until_the_links_are_found(spark, monkeypatch):
     # an encoder of little use: one gram outweighs the others, so that a slip often leads to a far cell
-    def poor(names, **_):
+    def poor(names, common, rare):
         rng = np.random.default_rng(3)
         return products.Encoder((rng.normal(size=(products.SLOTS, products.WIDTH)) * 10 ** (6 * rng.random((products.SLOTS, 1)))).astype(np.float32), {}, 1.0)
 
@@ -277,6 +277,24 @@ def test_probes_rise_until_the_links_are_found(spark, monkeypatch):
     assert len(found & planted) >= 0.99 * len(planted)
 
 
+def test_names_written_apart():
+    encoder = products.Encoder(np.zeros((1, 1)), {"kivara": 2.0}, 9.0)
+    assert encoder.likeness("kivara vomekebo", "kebo kivara vome") == 1.0 and encoder.likeness("kivara vomekebo", "kivara vome") < 0.55
+    assert encoder.likeness("kivara vomekebo", "kivara vomkeebo") == 1.0 and encoder.likeness("kivara vomekebo", "kivara sutizolo") < 0.55
+    assert offers.read("Power bank Kivara сини вола", "красный, 5000 мАч", None).name == ("kivara", "sini", "vola")
+
+
+def test_crowded_keys_and_hubs(catalogue, spark, monkeypatch):
+    df, _ = catalogue
+    plain = {(r["offer"], r["product"]) for r in products.group_offers(df, "offer_id").collect()}
+    monkeypatch.setattr(products, "BLOCK", 3)
+    monkeypatch.setattr(products, "HUB", 2)
+    assert {(r["offer"], r["product"]) for r in products.group_offers(df, "offer_id").collect()} == plain
+    links = spark.createDataFrame([(0, i) for i in range(1, 40)] + [(50, 51)], "a long, b long")
+    got = {r["rep"]: r["product"] for r in products.components(spark.range(60).withColumnRenamed("id", "rep"), links).collect()}
+    assert all(got[i] == 0 for i in range(40)) and got[51] == 50 and got[45] == 45
+
+
 def test_components(spark):
     nodes = spark.range(30).withColumnRenamed("id", "rep")
     links = spark.createDataFrame([(i, i + 1) for i in range(12)] + [(20, 25), (21, 25)], "a long, b long")
