@@ -77,6 +77,10 @@ class Encoder:
         """Share of two names' weight in words that agree; long words may differ by a slip, or two if another word agrees, and one word may stand as two."""
         x, y = a.split(), b.split()
         weigh = lambda w: self.common.get(w, self.rare)
+        if x and y:
+            heavy, total = max(x, key=weigh), sum(map(weigh, x))
+            if weigh(heavy) > total - weigh(heavy) and heavy not in y and not _has_partner(heavy, x, y):
+                return 1 - weigh(heavy) / total  # at most, as the heaviest word agrees with none
         same = [w for w in x if w in y]
         agreed = total_x = total_y = sum(map(weigh, same))
         left_x, left_y = [w for w in x if w not in same], [w for w in y if w not in same]
@@ -111,10 +115,27 @@ def _weight_of(words: list[str], others: list[str], weigh) -> float:  # noqa: AN
     return sum(map(weigh, words))
 
 
+def _has_partner(word: str, x: list[str], y: list[str]) -> bool:
+    """Whether ``word`` of ``x`` can agree with a word of ``y``, as one, as two, or as one half of one."""
+    if any(within(word, v, 2) for v in y):
+        return True
+    if len(y) > 2 and any(within(word, u + v, 2) for u in y for v in y if u != v):
+        return True
+    return len(x) > 2 and any(within(v, word + u, 2) or within(v, u + word, 2) for u in x if u != word for v in y)
+
+
 @lru_cache(1_000_000)
+def letters(word: str) -> int:
+    """The letters of a word as bits."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 31)
+    return bits
+
+
 def within(a: str, b: str, slips: int) -> bool:
-    """Whether two words of six letters or more differ by at most ``slips`` slips."""
-    return min(len(a), len(b)) >= 6 and abs(len(a) - len(b)) <= slips and distance(a, b, slips) <= slips
+    """Whether two words of six letters or more differ by at most ``slips`` slips; a slip changes two of the letters that occur at most."""
+    return min(len(a), len(b)) >= 6 and abs(len(a) - len(b)) <= slips and (letters(a) ^ letters(b)).bit_count() <= 2 * slips and distance(a, b, slips) <= slips
 
 
 def _misspell(name: str, rng: np.random.Generator) -> str:
