@@ -22,6 +22,7 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -133,6 +134,15 @@ def distance(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
+@lru_cache(1_000_000)
+def letters(word: str) -> int:
+    """The letters of a word as bits."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 31)
+    return bits
+
+
 def grams(text: str) -> Counter:
     """Pairs and triples of characters, with the ends marked."""
     t = f"^{text}$"

@@ -12,7 +12,7 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 
-from bazaarlens.llm.gazetteer import distance
+from bazaarlens.llm.gazetteer import distance, letters
 
 # ---- Fixed values: kinds of article by their names.
 KINDS = {
@@ -179,6 +179,6 @@ def read(title: str | None, description: str | None, params: str | None) -> Offe
 def _misspelt(word: str) -> tuple[str, str] | None:
     """The vocabulary entry that ``word`` misspells by one letter, if there is one."""
     for known, meaning in _LONG.items():
-        if abs(len(known) - len(word)) <= 1 and distance(word, known, 1) <= 1:
+        if abs(len(known) - len(word)) <= 1 and (letters(word) ^ letters(known)).bit_count() <= 2 and distance(word, known, 1) <= 1:
             return meaning
     return None

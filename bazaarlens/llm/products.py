@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import offers
-from bazaarlens.llm.gazetteer import distance
+from bazaarlens.llm.gazetteer import distance, letters
 from bazaarlens.session import cut_lineage, small_side
 
 SLOTS, WIDTH = 1 << 14, 48
@@ -124,15 +124,6 @@ def _has_partner(word: str, x: list[str], y: list[str]) -> bool:
     return len(x) > 2 and any(within(v, word + u, 2) or within(v, u + word, 2) for u in x if u != word for v in y)
 
 
-@lru_cache(1_000_000)
-def letters(word: str) -> int:
-    """The letters of a word as bits."""
-    bits = 0
-    for c in word:
-        bits |= 1 << (ord(c) & 31)
-    return bits
-
-
 def within(a: str, b: str, slips: int) -> bool:
     """Whether two words of six letters or more differ by at most ``slips`` slips; a slip changes two of the letters that occur at most."""
     return min(len(a), len(b)) >= 6 and abs(len(a) - len(b)) <= slips and (letters(a) ^ letters(b)).bit_count() <= 2 * slips and distance(a, b, slips) <= slips
