@@ -5,7 +5,7 @@ condition and age band, and coarser ones down to the whole table. A hub's value
 members (a distribution over categories for categorical fields); a record without a value takes the
 weighted mean of its hubs' values, finer and better supported hubs counting more; observed values
 are clamped. This repeats until values stand still, so that values travel over hubs that share
-members to groups in which nothing was observed.
+members to groups in which nothing was observed; if they do not within ``max_rounds``, that is an error.
 
 Records with the same hubs move in step, so the rows are first aggregated to cells (distinct
 combinations of hub keys) and the iteration runs over cells alone; a key held by a third of all
@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 from bazaarlens.session import cut_lineage, small_side, unused_name
 
 
+#: Cells that listen to a hub beyond which, and beyond a thousandth of all, its value is broadcast.
+CROWDED = 20_000
+
+
 @dataclass(frozen=True)
 class Target:
     """A field to fill: ``usable`` says which values count as observed; ``categorical`` fields get the likeliest category."""
@@ -47,7 +51,7 @@ class Hub:
     weight: float
 
 
-def fill(df: DataFrame, targets: Sequence[Target], keys: dict[str, Column], hubs: Sequence[Hub], support: float = 3.0, carried: float = 0.25, tolerance: float = 0.01, max_rounds: int = 6) -> DataFrame:
+def fill(df: DataFrame, targets: Sequence[Target], keys: dict[str, Column], hubs: Sequence[Hub], support: float = 3.0, carried: float = 0.25, tolerance: float = 0.01, max_rounds: int = 50) -> DataFrame:
     """``df`` with the targets filled and a column ``<field>_status`` for each: observed, filled or unfilled.
 
     ``support`` is the number of observations at which a hub counts half its weight; ``carried``
@@ -76,27 +80,34 @@ def fill(df: DataFrame, targets: Sequence[Target], keys: dict[str, Column], hubs
     )
     known = cells.where(F.col("channel").isNotNull()).select("cell", "target", "channel", "mass", "n")
     waiting = cells.where(F.col("channel").isNull()).select("cell", "target", F.col("n").alias("waiting"))
+    categorical = F.array(*[F.lit(t.categorical) for t in targets])[F.col("target")]
 
-    observed = edges.join(known, "cell").groupBy("hub_key", "target", "channel").agg(F.sum("mass").alias("mass"), F.sum("n").alias("n"))
-    observed = cut_lineage(observed)
-    # of categories, a hub's number of observations is over all channels; of means there is one channel
-    seen = observed.groupBy("hub_key", "target").agg(F.sum("n").alias("seen"))
+    # what a hub knows by observation: the mass of each channel, and the number of members that stand behind it
+    observed = cut_lineage(edges.join(known, "cell").groupBy("hub_key", "target", "channel").agg(F.sum("mass").alias("mass"), F.sum("n").cast("double").alias("behind")))
     asking = cut_lineage(edges.join(waiting, "cell").select("cell", "hub_key", "w", "target", "waiting"))
+    listeners = asking.groupBy("hub_key", "target").agg(F.count("*").alias("_n"))
+    least = max(CROWDED, asking.count() // 1_000)
+    crowded = cut_lineage(listeners.where(F.col("_n") > least).select("hub_key", "target", F.lit(True).alias("crowded")))  # under a thousand hubs
+    asking = cut_lineage(asking.join(F.broadcast(crowded), ["hub_key", "target"], "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))))
 
     state: DataFrame | None = None
     for _ in range(max_rounds):
-        mass, weight = observed.select("hub_key", "target", "channel", "mass"), seen.select("hub_key", "target", F.col("seen").alias("weight"))
+        told = observed
         if state is not None:
             sent = asking.join(state, ["cell", "target"])
-            lent = sent.groupBy("hub_key", "target", "channel").agg((F.sum(F.col("value") * F.col("waiting")) * carried).alias("mass"))
-            mass = mass.unionByName(lent).groupBy("hub_key", "target", "channel").agg(F.sum("mass").alias("mass"))
-            heads = asking.join(state.select("cell", "target").distinct(), ["cell", "target"]).groupBy("hub_key", "target").agg((F.sum("waiting") * carried).alias("weight"))
-            weight = weight.unionByName(heads).groupBy("hub_key", "target").agg(F.sum("weight").alias("weight"))
-        hub_values = mass.join(weight, ["hub_key", "target"]).select("hub_key", "target", "channel", (F.col("mass") / F.col("weight")).alias("h"), "weight")
+            lent = sent.groupBy("hub_key", "target", "channel").agg((F.sum(F.col("value") * F.col("waiting")) * carried).alias("mass"), (F.sum("waiting") * carried).alias("behind"))
+            # of a category's value, only its share of the members stands behind it
+            lent = lent.select("hub_key", "target", "channel", "mass", F.when(categorical, F.col("mass")).otherwise(F.col("behind")).alias("behind"))
+            told = observed.unionByName(lent).groupBy("hub_key", "target", "channel").agg(F.sum("mass").alias("mass"), F.sum("behind").alias("behind"))
+        hub_values = told.groupBy("hub_key", "target").agg(F.collect_list(F.struct("channel", "mass")).alias("channels"), F.sum("behind").alias("weight"))
+        loud = F.broadcast(hub_values.join(F.broadcast(crowded), ["hub_key", "target"], "left_semi"))
+        heard = asking.where("not crowded").join(hub_values, ["hub_key", "target"]).unionByName(asking.where("crowded").join(loud, ["hub_key", "target"]))
         trust = F.col("w") * F.col("weight") / (F.col("weight") + support)
-        heard = asking.join(hub_values, ["hub_key", "target"])
-        total = asking.join(weight, ["hub_key", "target"]).groupBy("cell", "target").agg(F.sum(trust).alias("total"))
-        after = heard.groupBy("cell", "target", "channel").agg(F.sum(trust * F.col("h")).alias("value")).join(total, ["cell", "target"]).select("cell", "target", "channel", (F.col("value") / F.col("total")).alias("value"))
+        spoken = heard.select("cell", "target", trust.alias("trust"), "weight", F.explode("channels").alias("c"))
+        summed = spoken.groupBy("cell", "target", "c.channel").agg(F.sum(F.col("trust") * F.col("c.mass") / F.col("weight")).alias("v"), F.sum("trust").alias("t"))
+        # means are divided by the trust in all hubs, categories are made to sum to one
+        cells_heard = summed.groupBy("cell", "target").agg(F.collect_list(F.struct("channel", "v", "t")).alias("all"), F.sum("v").alias("whole"))
+        after = cells_heard.select("cell", "target", "whole", F.explode("all").alias("a")).select("cell", "target", "a.channel", (F.col("a.v") / F.when(categorical, F.col("whole")).otherwise(F.col("a.t"))).alias("value"))
         after = cut_lineage(after)
         if state is None:
             moved = float("inf")
@@ -106,6 +117,8 @@ def fill(df: DataFrame, targets: Sequence[Target], keys: dict[str, Column], hubs
         state = after
         if moved < tolerance:
             break
+    else:
+        raise ArithmeticError(f"values did not stand still within {max_rounds} rounds")
 
     best = state.groupBy("cell", "target").agg(F.max(F.struct(F.round("value", 9).alias("v"))).alias("top"))
     chosen = state.join(best, ["cell", "target"]).where(F.round("value", 9) == F.col("top.v")).groupBy("cell", "target").agg(F.min("channel").alias("channel"), F.max("value").alias("value"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.operators.propagate import Hub, Target, fill, to_fill
+from bazaarlens.session import small_side
 from bazaarlens.sources.tables import table
 
 
@@ -43,8 +44,9 @@ def held_out(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fill_clean(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
-    years = table(spark, folder, "phone_catalog", "release_date").select(F.year("release_date").alias("y")).where("y is not null").distinct()
-    released = [r[0] for r in years.orderBy("y").limit(1000).collect()]  # calendar years of a catalogue
+    released = table(spark, folder, "phone_catalog").select(F.year("release_date").alias("_released")).where("_released is not null").distinct()
+    own = rows.columns
+    rows = rows.join(small_side(released), F.col("release_year") == F.col("_released"), "left")
     month = F.floor(F.months_between(F.to_timestamp_ntz(F.substring("scraped_at", 1, 10)), F.lit("2000-01-01").cast("date")) / 3)
     keys = {
         "model": F.lower(F.trim("model")), "storage": F.col("storage_gb"), "condition": F.col("condition"), "age": F.floor(F.col("phone_age_months") / 6), "price": _price_band(F.col("price")), "quarter": month,
@@ -56,9 +58,10 @@ def _fill_clean(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
     targets = [
         Target("battery_health", _battery() & F.coalesce(F.col("battery_known") != 0, F.lit(True)), low=40, high=100),
         Target("battery_known", F.coalesce(F.col("battery_known").isin(0, 1), F.lit(False)), categorical=True),
-        Target("release_year", F.coalesce(F.col("release_year").isin(released), F.lit(False)), categorical=True),
+        Target("release_year", F.col("_released").isNotNull(), categorical=True),
     ]
-    return fill(rows, targets, keys, hubs)
+    filled = fill(rows, targets, keys, hubs)
+    return filled.select(*own, *[c for c in filled.columns if c.endswith("_status")])
 
 
 def filled_raw(spark: SparkSession, folder: str) -> DataFrame:

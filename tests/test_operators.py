@@ -310,3 +310,16 @@ def test_hot_keys_are_spread(spark, monkeypatch):
         if want != "id":
             seen.setdefault(url, i)
         assert got[i] == want
+
+
+def test_crowded_hubs_are_broadcast_with_the_same_result(spark, monkeypatch):
+    from bazaarlens.operators import propagate
+
+    rows = [(i, f"g{i % 7}", f"s{i % 3}", None if i % 4 == 0 else 40 + i % 50, None if i % 5 == 0 else f"k{i % 3}") for i in range(200)]
+    df = spark.createDataFrame(rows, "i int, g string, s string, v int, k string")
+    run = lambda: {r["i"]: (r["v"], r["k"], r["v_status"]) for r in fill(df, [Target("v", F.col("v").isNotNull()), Target("k", F.col("k").isNotNull(), categorical=True)], {"g": F.col("g"), "s": F.col("s")}, [Hub(("g", "s"), 4.0), Hub(("g",), 1.0), Hub((), 0.01)]).collect()}
+    plain = run()
+    monkeypatch.setattr(propagate, "CROWDED", 2)
+    assert run() == plain and {v[2] for v in plain.values()} == {"observed", "filled"} and all(v[1] for v in plain.values())
+    with pytest.raises(ArithmeticError):
+        fill(df, [Target("v", F.col("v").isNotNull())], {"g": F.col("g")}, [Hub(("g",), 1.0), Hub((), 1.0)], max_rounds=1)
