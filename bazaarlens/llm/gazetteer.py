@@ -6,10 +6,12 @@ value is split at commas, freed of frames such as "г.", "живу в", "(мет
 normalised (case, look-alike letters, keyboard layout, Latin spelling), looked up in the index, and
 scored by weighted cosine and by edit distance to the candidates; the best entry is taken if its
 score passes the threshold and its lead over the next entry passes the margin, else the value is
-reported as unmatched (entry 0). Equal values are matched once in each batch and remembered.
+reported as unmatched (entry 0). Equal values are matched once in each batch, and short ones are remembered.
 
-The reference list is sent to the executors only below a stated number of entries; the values
-are never shuffled, so one value held by a third of all rows is no hot spot.
+Every form that the index retrieves is scored; the edit distance is skipped only where the pairs of
+letters in common prove that it exceeds what is accepted. A longer list than ``MAX_ENTRIES``, which
+is sent to the executors, is an error. The values are never shuffled, so one value held by a third of
+all rows is no hot spot.
 
 Defined results: null and blank values give null (there is nothing to map); a value that names no
 entry, or two entries equally well, gives 0; an empty list gives 0 for every value.
@@ -177,12 +179,15 @@ class Matcher:
         df = Counter(g for form, _ in self.surfaces for g in grams(form))
         self.idf = {g: math.log(1 + len(self.surfaces) / n) for g, n in df.items()}
         self.unknown = math.log(1 + len(self.surfaces)) if self.surfaces else 1.0
-        self.postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
+        self.postings: dict[str, list[tuple[int, float, int]]] = defaultdict(list)
         for i, (form, _) in enumerate(self.surfaces):
-            weights = {g: n * self.idf[g] for g, n in grams(form).items()}
-            norm = math.sqrt(sum(w * w for w in weights.values()))
-            for g, w in weights.items():
-                self.postings[g].append((i, w / norm))
+            counts = grams(form)
+            norm = math.sqrt(sum((n * self.idf[g]) ** 2 for g, n in counts.items()))
+            for g, n in counts.items():
+                self.postings[g].append((i, n * self.idf[g] / norm, n if len(g) == 2 else 0))
+        #: Most words of a name, and most letters that the wrong keyboard layout writes as commas, so that no longer piece can be one.
+        self.most_words = max((len(form.split()) for form in (*self.exact, *(f for f, _ in self.surfaces))), default=1)
+        self.most_commas = max((sum(c in "бю" for c in form) for form in (*self.exact, *(f for f, _ in self.surfaces))), default=0)
         self.seen: dict[str, int] = {}
 
     def variants(self, text: str) -> list[str]:
@@ -195,17 +200,22 @@ class Matcher:
 
     def score(self, text: str) -> dict[int, float]:
         """Best score of each entry for one reading."""
-        weights = {g: n * self.idf.get(g, self.unknown) for g, n in grams(text).items()}
+        counts = grams(text)
+        weights = {g: n * self.idf.get(g, self.unknown) for g, n in counts.items()}
         norm = math.sqrt(sum(w * w for w in weights.values())) or 1.0
         cosine: dict[int, float] = defaultdict(float)
+        shared: dict[int, int] = defaultdict(int)
         for g, w in weights.items():
-            for i, v in self.postings.get(g, ()):
+            n = counts[g]
+            for i, v, m in self.postings.get(g, ()):
                 cosine[i] += w * v / norm
+                shared[i] += min(n, m)
         best: dict[int, float] = {}
-        for i, c in sorted(cosine.items(), key=lambda x: -x[1])[:24]:
+        for i, c in cosine.items():
             form, key = self.surfaces[i]
             most = 1 if len(form) < 7 else 2 if len(form) < 12 else 3
-            if len(form) >= 4 and (d := distance(text, form, most)) <= most:
+            # a slip changes three pairs of letters at most, so forms that share fewer are farther away
+            if len(form) >= 4 and abs(len(text) - len(form)) <= most and shared[i] > max(len(text), len(form)) - 3 * most and (d := distance(text, form, most)) <= most:
                 c = max(c, 1 - d / (1.6 + 0.62 * len(form)))
             if form not in self.own:
                 c *= 0.93  # a misspelt name is likelier than a misspelt case form
@@ -259,7 +269,7 @@ class Matcher:
             return 0
         pieces = value.strip().lower().split(",")
         for start in range(len(pieces)):
-            for end in range(start + 1, min(len(pieces), start + 3) + 1):
+            for end in range(start + 1, min(len(pieces), start + 1 + self.most_commas) + 1):
                 piece = ",".join(pieces[start:end]).strip()
                 if not piece or _CYRILLIC.search(piece) or plain(piece) in self.exact:
                     continue
@@ -280,7 +290,7 @@ class Matcher:
         if found := self.part(plain(core)):
             return found
         cut = _TAIL.sub("", core).strip() if not re.match(r"\s*(?:россия|рф|russia)\b", core, re.I) else core
-        for _ in range(3):
+        while True:
             shorter = _FRAME_END.sub("", _FRAME_START.sub("", cut)).strip()
             if shorter == cut:
                 break
@@ -291,7 +301,7 @@ class Matcher:
             return found
         # the name may be followed by anything: a telephone, an address, a person
         words = plain(cut).split()
-        for n in range(min(3, len(words) - 1), 0, -1):
+        for n in range(min(self.most_words, len(words) - 1), 0, -1):
             for reading in self.variants(" ".join(words[:n])):
                 if found := self.exact.get(reading) or (len(reading) > 3 and self._near(reading)):
                     return found
@@ -326,7 +336,8 @@ def map_to_list(value: Column, entries: list[tuple[int, str, list[str]]], thresh
     def run(values: pd.Series) -> pd.Series:
         if not held:
             held.append(Matcher(entries, threshold, margin))
-        return pd.Series([held[0].match(v) for v in values], dtype="Int32")
+        codes, distinct = pd.factorize(values, use_na_sentinel=False)
+        return pd.Series([held[0].match(v) for v in distinct], dtype="Int32").take(codes).reset_index(drop=True)
 
     return F.pandas_udf(run, T.IntegerType())(value)
 
