@@ -1,9 +1,9 @@
 """Problem 10: reading level by smoothed unigram language models, one per level.
 
 The models come from labelled texts: word counts per level, additive smoothing, level priors. They
-are fitted on at most ``max_labelled`` labelled documents (a hash sample beyond that) and keep at
-most ``max_words`` words; every document is then scored whole, row by row, with the model sent to
-the executors, whose size those two parameters bound.
+are fitted on at most ``max_labelled`` labelled documents (a hash sample beyond that), of which every
+word counts; every document is then scored whole, row by row, with the model sent to the executors,
+whose size the labelled documents bound.
 
 Defined results: a null text, a text without words and a text of which the models know fewer than
 ``least_words`` words get a null level and null confidence; repeated or disagreeing labels of one document count
@@ -33,16 +33,27 @@ _UNSEEN = dict.fromkeys(map(ord, "​‌‍⁠﻿­"))
 #: Latin letters that stand for Cyrillic ones of the same look inside Cyrillic words.
 _LOOKALIKE = str.maketrans("aceopxykmtbh", "асеорхукмтвн")
 _CYRILLIC = re.compile("[а-яё]")
+_UNSEEN_ONE = re.compile("[" + "".join(map(chr, _UNSEEN)) + "]")
+#: A word of both scripts; only such a word can hold look-alike letters.
+_MIXED = re.compile(r"[а-яё][^\W\d_]*?[a-z]|[a-z][^\W\d_]*?[а-яё]")
 
 
 def words(text: str | None) -> list[str]:
     """Lower-case words of a text, without markup, invisible characters and look-alike letters."""
     if not text:
         return []
-    text = text.translate(_UNSEEN)
-    if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
-    found = _WORD.findall(_MARKUP.sub(" ", text).lower().replace("ё", "е"))
+    plain = text.isascii()
+    if not plain:
+        if _UNSEEN_ONE.search(text):
+            text = text.translate(_UNSEEN)
+        if not unicodedata.is_normalized("NFKC", text):
+            text = unicodedata.normalize("NFKC", text)
+    if "<" in text:
+        text = _MARKUP.sub(" ", text)
+    text = text.lower().replace("ё", "е")
+    found = _WORD.findall(text)
+    if plain or not _MIXED.search(text):
+        return found
     return [w.translate(_LOOKALIKE) if not w.isascii() and _CYRILLIC.search(w) else w for w in found]
 
 
@@ -77,7 +88,7 @@ def document_labels(labels: DataFrame, id_col: str, level_col: str, levels: int)
     return usable.groupBy(id_col).agg(F.percentile_approx(level_col, 0.5, 10000).cast("int").alias("_level"))
 
 
-def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", level_col: str = "reading_level", levels: int = 5, smoothing: float = 0.1, max_labelled: int = 200_000, max_words: int = 500_000) -> LevelModel | None:
+def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", level_col: str = "reading_level", levels: int = 5, smoothing: float = 0.1, max_labelled: int = 200_000) -> LevelModel | None:
     """Fit the level models, or None if there is no labelled text with words."""
     judged = document_labels(labels, id_col, level_col, levels)
     n = judged.count()
@@ -98,7 +109,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     counted = texts.mapInPandas(count, "word string, level int, n long").groupBy("word").pivot("level", list(range(1, levels + 1))).agg(F.sum("n")).na.fill(0)
     names = [str(k) for k in range(1, levels + 1)]
     total = sum((F.col(k) for k in names), F.lit(0))
-    rows = counted.orderBy((F.col("word") == "").desc(), total.desc(), "word").limit(max_words + 1).collect()
+    rows = counted.orderBy((F.col("word") == "").desc(), total.desc(), "word").collect()  # words of at most max_labelled texts
     if not rows or rows[0]["word"] != "":
         return None
     docs = np.array([rows[0][k] for k in names], dtype=float)
