@@ -68,6 +68,12 @@ def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return truth.survivors(_captures(spark, folder, *CAPTURE_RULES), list(CAPTURE_RULES)).withColumnRenamed("group_key", "item_id")
 
 
+def p2_fresh_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """The captures that give the fields that change over time."""
+    found = truth.survivors(_captures(spark, folder, "battery_health", "price"), ["battery_health", "price"])
+    return found.select(F.col("group_key").alias("item_id"), F.col("battery_health_row"), F.col("price_row"))
+
+
 def _mapped_regions(spark: SparkSession, folder: str) -> DataFrame:
     """table_name, row_key, typed, region_id of every value that is not an entry as it stands."""
     listed = table(spark, folder, "region_list")
@@ -88,6 +94,12 @@ def p3_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     return gazetteer.unmatched_report(_mapped_regions(spark, folder), "typed", "region_id")
 
 
+def p3_recased_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the mapped values, those that differ from a name of the list in case and outer blanks alone."""
+    names = table(spark, folder, "region_list", "region_name").select(F.lower("region_name").alias("_name"))
+    return _mapped_regions(spark, folder).where(F.col("region_id").isNotNull()).join(small_side(names), F.lower(F.trim("typed")) == F.col("_name"), "left_semi").select("table_name", "row_key", "region_id")
+
+
 def p5_residue(spark: SparkSession, folder: str) -> DataFrame:
     """Residue in titles and descriptions with its kind and evidence."""
     rows = table(spark, folder, "raw_listings", "listing_row", "title", "description", "listing_url")
@@ -113,6 +125,15 @@ def p5_clean_rows(spark: SparkSession, folder: str) -> DataFrame:
     return residue.exclude(table(spark, folder, "raw_listings"), "listing_row", "title", "description", "listing_url")
 
 
+def p5_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of raw_listings, and those that are neither flagged nor kept, or both."""
+    flagged = p5_residue(spark, folder).select("listing_row").distinct()
+    kept = p5_clean_rows(spark, folder).select("listing_row")
+    seen = flagged.unionByName(kept).groupBy("listing_row").agg(F.count("*").alias("n"))
+    rows = table(spark, folder, "raw_listings", "listing_row").join(seen, "listing_row", "left")
+    return rows.agg(F.count("*").alias("rows"), F.count_if(F.coalesce("n", F.lit(0)) != 1).alias("wrong"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Kinds of personal data in descriptions and locations."""
     rows = table(spark, folder, "raw_listings", "listing_row", "description", "location")
@@ -124,6 +145,17 @@ def p6_masked(spark: SparkSession, folder: str) -> DataFrame:
     return pii.mask_fields(table(spark, folder, "raw_listings"), ["description", "location"])
 
 
+def p6_untouched(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields of raw_listings by whether they are null; fields without personal data that masking changed, and masked ones without a placeholder."""
+    rows = table(spark, folder, "raw_listings", "listing_row", "description", "location")
+    long = lambda df, c: df.select("listing_row", F.explode(F.create_map(F.lit("description"), "description", F.lit("location"), "location")).alias("field_name", c))
+    masked = pii.mask_fields(rows, ["description", "location"])
+    kinds = p6_found(spark, folder).select("listing_row", "field_name").distinct().withColumn("has", F.lit(True))
+    both = long(rows, "before").join(long(masked, "after"), ["listing_row", "field_name"]).join(kinds, ["listing_row", "field_name"], "left")
+    has, same = F.col("has").isNotNull(), F.col("before").eqNullSafe(F.col("after"))
+    return both.agg(F.count("*").alias("fields"), F.count("before").alias("texts"), F.count_if(~has & ~same).alias("changed"), F.count_if(has & (same | ~F.col("after").rlike(r"\[(EMAIL|PHONE|ID_NUMBER|ADDRESS|NAME)\]"))).alias("unmasked"))
+
+
 def _offers(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "dealer_offers", "offer_id", "title", "description", "params")
 
@@ -138,6 +170,14 @@ def p7_groups(spark: SparkSession, folder: str) -> DataFrame:
     return products.group_offers(_offers(spark, folder), "offer_id").withColumnRenamed("offer", "offer_id")
 
 
+def p7_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Offers, different texts of offers, and texts whose copies lie in different groups."""
+    c = F.col
+    texts = _offers(spark, folder).select("offer_id", F.sha2(F.to_json(F.struct("title", "description", "params")), 256).alias("text"))
+    copies = p7_groups(spark, folder).join(texts, "offer_id").groupBy("text").agg(F.count("*").alias("n"), F.min("product").alias("a"), F.max("product").alias("b"))
+    return copies.agg(F.sum("n").alias("offers"), F.count("*").alias("texts"), F.count_if(c("a") != c("b")).alias("parted"))
+
+
 def p7_recall(spark: SparkSession, folder: str) -> DataFrame:
     """Recall of the index against exact search."""
     return products.recall_report(_offers(spark, folder), "offer_id")
@@ -153,6 +193,14 @@ def p8_token_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_statistics(p8_ids(spark, folder))
 
 
+def p8_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, those without tokens, and those whose ids do not give their text again."""
+    documents = table(spark, folder, "documents", "doc_id", "text")
+    ids = tokens.encode_column(documents, "doc_id", "text")
+    again = documents.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("before")).join(tokens.decode_column(ids, "doc_id").select("doc_id", F.sha2("text", 256).alias("after"), (F.col("text") == "").alias("none")), "doc_id")
+    return again.agg(F.count("*").alias("documents"), F.count_if("none").alias("without_tokens"), F.count_if(F.col("before") != F.col("after")).alias("wrong"))
+
+
 def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     """The container of every piece of every document."""
     counted = tokens.count_column(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
@@ -164,6 +212,17 @@ def p9_report(spark: SparkSession, folder: str) -> DataFrame:
     return packing.container_report(p9_containers(spark, folder), CONTAINER_TOKENS)
 
 
+def p9_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents; of them those that lost or won tokens, those cut although they fit, and containers over capacity."""
+    packed = cut_lineage(p9_containers(spark, folder))
+    counted = tokens.count_column(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
+    pieces = packed.groupBy("doc_id").agg(F.sum("piece_size").alias("size"), F.count("*").alias("pieces"))
+    both = counted.join(pieces, "doc_id", "full")
+    over = packed.groupBy("container_id").agg(F.sum("piece_size").alias("fill")).agg(F.count_if(F.col("fill") > CONTAINER_TOKENS).alias("overfull"))
+    found = both.agg(F.count("n_tokens").alias("documents"), F.count_if(~F.col("n_tokens").eqNullSafe(F.col("size"))).alias("lost"), F.count_if((F.col("n_tokens") <= CONTAINER_TOKENS) & (F.col("pieces") > 1)).alias("cut"))
+    return found.crossJoin(over)  # one row each
+
+
 def _reading_model(spark: SparkSession, folder: str) -> reading.LevelModel | None:
     return reading.fit(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "reading_labels"))
 
@@ -178,6 +237,14 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_levels(spark, folder).where(F.col("level") == 5).select("doc_id").distinct()
 
 
+def p10_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, those with a level outside 1 to 5 or a confidence outside 1/5 to 1, and those whose level and number of known words do not go together."""
+    c = F.col
+    levels = p10_levels(spark, folder)
+    outside = ~(c("level").between(1, 5) & c("confidence").between(0.2 - 1e-9, 1 + 1e-9) & c("expected_level").between(1, 5))
+    return levels.agg(F.count("*").alias("documents"), F.count_if(c("level").isNotNull() & outside).alias("outside"), F.count_if(c("level").isNull() != (c("n_words") < 3)).alias("unfounded"))
+
+
 def p10_held_out(spark: SparkSession, folder: str) -> DataFrame:
     """Confusion counts of a held-out fifth of the labelled documents."""
     return reading.held_out_accuracy(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "reading_labels"))

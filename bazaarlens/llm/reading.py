@@ -108,8 +108,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     counted = texts.mapInPandas(count, "word string, level int, n long").groupBy("word").pivot("level", list(range(1, levels + 1))).agg(F.sum("n")).na.fill(0)
     names = [str(k) for k in range(1, levels + 1)]
-    total = sum((F.col(k) for k in names), F.lit(0))
-    rows = counted.orderBy((F.col("word") == "").desc(), total.desc(), "word").collect()  # words of at most max_labelled texts
+    rows = sorted(counted.collect(), key=lambda r: r["word"])  # words of at most max_labelled texts
     if not rows or rows[0]["word"] != "":
         return None
     docs = np.array([rows[0][k] for k in names], dtype=float)

