@@ -267,3 +267,30 @@ def region(location: Column) -> Column:
     alias = F.create_map(*[F.lit(x) for pair in REGION_ALIASES.items() for x in pair])
     plain = F.concat(F.upper(F.substring(head, 1, 1)), F.substr(head, F.lit(2)))
     return F.when((head == "") | F.lower(head).rlike(U + NOT_A_TOWN), UNKNOWN_REGION).otherwise(F.coalesce(alias[key], plain))
+
+
+# ---- what people type when asked for one thing
+
+
+def typed_price(c: Column) -> Column:
+    """A price as typed, also in thousands ("65k", "70 тыс"); null if there is none."""
+    thousands = F.regexp_extract(strip(c), r"(?iu)^(\d+(?:[.,]\d+)?)\s*(?:k|к|тыс\.?)$", 1)
+    return F.when(thousands != "", F.bround(F.regexp_replace(thousands, ",", ".").try_cast("double") * 1000, 0).cast("bigint")).otherwise(price(c))
+
+
+def typed_percent(c: Column) -> Column:
+    """A whole percentage of 1 to 100 as typed, with or without its sign; null if there is none."""
+    number = F.regexp_extract(strip(c), r"^(\d{1,3})\s*%?$", 1).try_cast("int")
+    return F.when(number.between(1, 100), number)
+
+
+def typed_storage(c: Column, sizes: tuple[int, ...]) -> Column:
+    """A capacity in GB as typed: with a unit, or a bare number among ``sizes``."""
+    bare = strip(c).try_cast("int")
+    return F.coalesce(storage_gb(c, True), F.when(bare.isin(*sizes), bare))
+
+
+def typed_condition(c: Column) -> Column:
+    """A condition as typed: its own name, or a wording of it."""
+    plain = normalize(c)
+    return F.when(plain.isin("new", "used", "refurbished", "for_parts"), plain).otherwise(condition(c, c))

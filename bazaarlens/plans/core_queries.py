@@ -252,6 +252,30 @@ def listing_ages(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("listing_row", day.cast("string").alias("day"), S.whole_months(F.col("release_date"), day).alias("phone_age_months"))
 
 
+def attributes_plain(spark: SparkSession, folder: str) -> DataFrame:
+    """The attributes whose reading SQL can state, out of the pipeline's own pass."""
+    return read_attributes(table(spark, folder, "raw_listings"), "listing_row").select(F.col("row").alias("listing_row"), "item_id", "price", "region", "scraped_at")
+
+
+def clean_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that went in; rows neither kept nor counted under a rule, repeated numbers among the kept ones, and kept ones that break a bound."""
+    kept, report = clean(table(spark, folder, "raw_listings"), table(spark, folder, "phone_catalog"), Settings(), "listing_row")
+    sums = report.agg(F.sum("rows").alias("rows"), F.sum(F.when(F.col("rule") == "kept", F.col("rows"))).alias("kept"))
+    sound = F.col("price").between(5_000, 400_000) & F.col("battery_health").between(40, 100) & F.col("condition").isin(*CONDITION_CODE) & F.col("release_year").isNotNull() & F.col("storage_gb").isNotNull()
+    named = F.nullif(F.col("item_id"), F.lit(""))
+    found = kept.agg(F.count("*").alias("n"), (F.count(named) - F.count_distinct(named)).alias("repeated"), F.count_if(~F.coalesce(sound, F.lit(False))).alias("out_of_bounds"))
+    return sums.crossJoin(found).select("rows", (F.col("n") - F.coalesce("kept", F.lit(0))).alias("unaccounted"), "repeated", "out_of_bounds")  # one row each
+
+
+def model_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the archive; rows without a positive prediction, and rows that more battery or storage makes cheaper."""
+    rows = _features(spark, folder)
+    model = LogLinear().fit(rows.where("price > 0"))
+    better = rows.withColumns({"battery_health": F.least(F.col("battery_health") + 5, F.lit(100.0)), "storage_gb": F.col("storage_gb") * 2})
+    both = model.predict(rows).select("item_id", "y_hat").join(model.predict(better, "more").select("item_id", "more"), "item_id")
+    return both.agg(F.count("*").alias("rows"), F.count_if(~F.coalesce(F.col("y_hat") > 0, F.lit(False))).alias("unpredicted"), F.count_if(F.col("more") < F.col("y_hat") * (1 - 1e-9)).alias("falling"))
+
+
 def _features(spark: SparkSession, folder: str) -> DataFrame:
     return cut_lineage(price_features(table(spark, folder, "clean_listings"), table(spark, folder, "phone_catalog"), "item_id"))
 
@@ -322,7 +346,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         hier_iqr_outliers, group_levels, cheap_vs_group_median, rule_cascade_report, impute_group_median, dedup_cascade, content_fingerprint_dedup, normalize_text, json_params_lookup, url_canonical, html_item_pages, html_search_pages, months_elapsed,
         catalog_lookup, option_membership, catalog_storages, builtin_catalog, resume_append, first_capture, frequent_categories, default_category, value_counts, regression_metrics, fold_metrics, model_selection, delta_classes, prices_read, regions_read,
-        numbers_read, features_of_listings, listing_ages, valuations, model_valuations, negated_keyword_flags, junk_reasons, attributes_read, clean_listings_e2e, cleaning_report, monotone_price_model, gbt_price_model, cross_validated_model, isolation_forest,
+        numbers_read, features_of_listings, listing_ages, valuations, model_valuations, attributes_plain, clean_balance, model_check, negated_keyword_flags, junk_reasons, attributes_read, clean_listings_e2e, cleaning_report, monotone_price_model, gbt_price_model, cross_validated_model, isolation_forest,
     )
     return {f.__name__: f for f in own} | {
         "synthetic_listings": synthetic,
@@ -330,4 +354,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_filled_clean": fill_queries.filled_clean,
         "p4_filled_raw": fill_queries.filled_raw,
         "p4_held_out": fill_queries.held_out,
+        "p4_fill_counts": fill_queries.fill_counts,
     }

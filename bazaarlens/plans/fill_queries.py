@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.operators.propagate import Hub, Target, fill, to_fill
-from bazaarlens.session import small_side
+from bazaarlens.session import cut_lineage, small_side
 from bazaarlens.sources.tables import table
 
 
@@ -74,6 +76,23 @@ def filled_raw(spark: SparkSession, folder: str) -> DataFrame:
     return fill(rows, [Target("battery_health", _battery(), low=40, high=100)], keys, hubs)
 
 
+def fill_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """For each field its observed and filled values, those that stayed open, observed ones that changed, and values out of bounds."""
+    parts = []
+    for name, ident, filled, fields in (("raw_listings", "listing_row", filled_raw(spark, folder), ("battery_health",)), ("clean_listings", "item_id", filled_clean(spark, folder), ("battery_health", "battery_known", "release_year"))):
+        filled = cut_lineage(filled.select(ident, *fields, *[f"{f}_status" for f in fields]))
+        before = table(spark, folder, name, ident, *fields).select(ident, *[F.col(f).alias(f"{f}_before") for f in fields])
+        both = filled.join(before, ident)
+        for field in fields:
+            value, status = F.col(field), F.col(f"{field}_status")
+            low, high = {"battery_health": (40, 100), "battery_known": (0, 1), "release_year": (2000, 2100)}[field]
+            parts.append(both.agg(
+                F.lit(name).alias("table_name"), F.lit(field).alias("field_name"), F.count_if(status == "observed").alias("observed"), F.count_if(status == "filled").alias("filled"), F.count_if(status == "unfilled").alias("open"),
+                F.count_if((status == "observed") & ~value.eqNullSafe(F.col(f"{field}_before"))).alias("changed"), F.count_if(~F.coalesce(value.between(low, high), F.lit(False))).alias("outside"),
+            ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Values of both listing tables that have to be filled, read off the statuses of the fills."""
     raw = to_fill(filled_raw(spark, folder), ["battery_health"], "listing_row").withColumn("table_name", F.lit("raw_listings"))
@@ -81,11 +100,16 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return raw.unionByName(clean).select("table_name", "row_key", "field_name")
 
 
-P4_SQL = {
-    "p4_found": """
+_NEEDED = """
 SELECT 'raw_listings' AS table_name, listing_row::VARCHAR AS row_key, 'battery_health' AS field_name FROM raw_listings WHERE NOT coalesce(battery_health BETWEEN 40 AND 100, FALSE)
 UNION ALL SELECT 'clean_listings', item_id, 'battery_health' FROM clean_listings WHERE NOT coalesce(battery_health BETWEEN 40 AND 100, FALSE) OR battery_known = 0
 UNION ALL SELECT 'clean_listings', item_id, 'battery_known' FROM clean_listings WHERE battery_known IS NULL OR battery_known NOT IN (0, 1)
 UNION ALL SELECT 'clean_listings', item_id, 'release_year' FROM clean_listings WHERE release_year IS NULL OR release_year NOT IN (SELECT DISTINCT year(release_date) FROM phone_catalog WHERE release_date IS NOT NULL)
 """
+P4_SQL = {
+    "p4_found": _NEEDED,
+    "p4_fill_counts": f"""
+WITH needed AS ({_NEEDED}), n AS (SELECT table_name, field_name, count(*) AS filled FROM needed GROUP BY ALL)
+SELECT table_name, field_name, (SELECT CASE table_name WHEN 'raw_listings' THEN (SELECT count(*) FROM raw_listings) ELSE (SELECT count(*) FROM clean_listings) END) - filled AS observed, filled, 0::BIGINT AS open, 0::BIGINT AS changed, 0::BIGINT AS outside FROM n
+""",
 }

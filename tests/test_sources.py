@@ -146,3 +146,20 @@ def test_entry(spark, small):
 
     assert entry.entry(spark).count() >= 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_commands(spark, tmp_path, capsys):
+    from bazaarlens.cli import main
+
+    at = lambda name: str(tmp_path / name)
+    assert main(["synthesize", at("raw"), "--rows", "500", "--seed", "7"], spark) == 0
+    assert main(["clean", at("raw"), at("clean"), "--outliers", "none"], spark) == 0
+    assert "input rows: 500" in capsys.readouterr().out
+    assert main(["train", at("clean"), at("bundle"), "--folds", "2", "--metrics", at("scores.json")], spark) == 0
+    assert "monotone_log_linear" in capsys.readouterr().out and "typical_error_pct" in (tmp_path / "scores.json").read_text()
+    assert main(["evaluate", at("bundle"), "--phone", "13 про", "--storage", "256", "--condition", "б/у", "--price", "65,5к", "--battery", "78%"], spark) == 0
+    line = capsys.readouterr().out
+    assert line.startswith("iPhone 13 Pro | 256GB | used |") and "asked 65,500" in line
+    assert main(["evaluate", at("bundle"), "--phone", "iPhone 13", "--storage", "64", "--condition", "new", "--price", "70 тыс", "--json"], spark) == 2
+    assert '"error":"storage_not_offered"' in capsys.readouterr().out
+    assert main(["evaluate", at("nothing")], spark) == 1

@@ -121,3 +121,10 @@ def test_both_forms_of_negation_agree(spark, small):
     native = {"box": X.BOX, "receipt": X.RECEIPT, "installment": X.INSTALLMENT, "broken_screen": X.BROKEN_SCREEN, "water_damage": X.WATER, "used": X.USED_TEXT}
     differ = rows.where((X.junk_reason(F.col("title"), F.col("description")).eqNullSafe(F.col("s.junk")) == F.lit(False)) | F.exists(F.array(*[X.unnegated(text, p) != F.col(f"s.{n}") for n, p in native.items()]), lambda b: b))
     assert differ.count() == 0
+
+
+def test_typed_values(apply):
+    assert apply(X.typed_price, ["65k", "65,5к", "70 тыс", "70 тыс.", "12 500 ₽", "даром", None]) == [65000, 65500, 70000, 70000, 12500, None, None]
+    assert apply(X.typed_percent, ["87%", " 100 ", "0", "101", "почти 90", None]) == [87, 100, None, None, None, None]
+    assert apply(lambda c: X.typed_storage(c, (64, 1024)), ["1TB", "128", "64", "1024", "100", None]) == [1024, 128, 64, 1024, None, None]
+    assert apply(X.typed_condition, ["New", "б/у", "восстановленный", "на запчасти", "?", None]) == ["new", "used", "refurbished", "for_parts", None, None]
