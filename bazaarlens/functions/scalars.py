@@ -77,7 +77,7 @@ def utc_micros(text: Column) -> Column:
     t = strip(text)
     t = F.regexp_replace(t, r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
     t = F.regexp_replace(t, r"^(\d{4}-\d{2}-\d{2})[T ](\d{2})(\d{2})(\d{2})?(?=$|[^\d:])", "$1T$2:$3:$4")
-    t = F.regexp_replace(t, r"^(.{16}):(?=$|[^\d])", "$1")
+    t = F.regexp_replace(t, r"^(.{16}):?(?=$|[^\d:])", "$1:00")
     t = F.regexp_replace(t, r"(\d{2}:\d{2}\S*[+-]\d{2})(\d{2})$", "$1:$2")
     t = F.regexp_replace(t, r"(\d),(\d)", "$1.$2")
     t = F.regexp_replace(t, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00Z")

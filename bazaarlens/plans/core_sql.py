@@ -47,7 +47,7 @@ SQL: dict[str, str] = {
     **P4_SQL,
     "listing_ages": f"""
 WITH t AS (SELECT listing_row, model, {_UTC} FROM raw_listings), d AS (SELECT listing_row, model, {_DAY} AS day FROM t)
-SELECT listing_row, day::VARCHAR AS day, greatest((year(day) - year(release_date)) * 12 + month(day) - month(release_date) - CASE WHEN day(day) < day(release_date) THEN 1 ELSE 0 END, 0)::INT AS phone_age_months
+SELECT listing_row, day::VARCHAR AS day, CASE WHEN release_date IS NOT NULL THEN greatest((year(day) - year(release_date)) * 12 + month(day) - month(release_date) - CASE WHEN day(day) < day(release_date) THEN 1 ELSE 0 END, 0)::INT END AS phone_age_months
 FROM d LEFT JOIN phone_catalog ON {_KEY} = lower(name)
 """,
     "hier_iqr_outliers": f"""

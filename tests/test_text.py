@@ -128,3 +128,16 @@ def test_typed_values(apply):
     assert apply(X.typed_percent, ["87%", " 100 ", "0", "101", "почти 90", None]) == [87, 100, None, None, None, None]
     assert apply(lambda c: X.typed_storage(c, (64, 1024)), ["1TB", "128", "64", "1024", "100", None]) == [1024, 128, 64, 1024, None, None]
     assert apply(X.typed_condition, ["New", "б/у", "восстановленный", "на запчасти", "?", None]) == ["new", "used", "refurbished", "for_parts", None, None]
+
+
+def test_times_of_any_form(apply, spark):
+    cases = ["20260601T075054Z", "2026-06-01T07:50:54", "2026-06-01 12:50:54+05:00", "20260601T105054+0300", "2026-06-01T07:50:54,000Z", "20260601T0750Z", "2026-06-01T07:50", "2026-06-01", "20260601", "x", "2026-13-01T00:00:00Z", "", None]
+    got = apply(S.utc_micros, cases)
+    minute, day = 1780300200_000000, 1780272000_000000
+    assert got == [minute + 54_000000] * 5 + [minute] * 2 + [day] * 2 + [None] * 4
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        days = [str(d) for d in apply(lambda c: S.iso_date(c, F.lit("1999-01-01").cast("date")), ["2026-06-01T23:59:59Z", "20260601T000000Z", "2026-06-02T01:00:00+03:00", None])]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert days == ["2026-06-01", "2026-06-01", "2026-06-01", "1999-01-01"]
