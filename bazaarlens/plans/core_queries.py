@@ -20,11 +20,12 @@ from bazaarlens.operators.valuation import RESULTS, evaluate
 from bazaarlens.plans import fill_queries
 from bazaarlens.plans.clean import CONDITION_CODE, Settings, clean, read_attributes
 from bazaarlens.plans.training import price_features
-from bazaarlens.session import cut_lineage, small_side
-from bazaarlens.sources import html
+from bazaarlens.session import cut_lineage, small_side, unused_view, work_path
+from bazaarlens.sources import files, html
 from bazaarlens.sources.catalog import catalog, lookup_key, offered, storage_set, with_model
 from bazaarlens.sources.synthetic import synthetic_listings
 from bazaarlens.sources.tables import table
+from bazaarlens.streaming.resume import stream_append, stream_latest_counts
 
 
 def hier_iqr_outliers(spark: SparkSession, folder: str) -> DataFrame:
@@ -276,6 +277,53 @@ def model_check(spark: SparkSession, folder: str) -> DataFrame:
     return both.agg(F.count("*").alias("rows"), F.count_if(~F.coalesce(F.col("y_hat") > 0, F.lit(False))).alias("unpredicted"), F.count_if(F.col("more") < F.col("y_hat") * (1 - 1e-9)).alias("falling"))
 
 
+def values_formatted(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices of orders as text, rounded, and as the inner range of a tenth around them; the address of a search."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority").join(table(spark, folder, "customer", "c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    price = F.col("o_totalprice")
+    low, high = S.inner_range(price * 0.9, price * 1.1)
+    return orders.select("o_orderkey", S.money(price).alias("money"), S.half_even(price, 500).alias("near"), low.cast("bigint").alias("low"), high.cast("bigint").alias("high"), S.search_url("https://board.example/", F.lower("c_mktsegment"), F.col("o_orderpriority")).alias("url"))
+
+
+def params_read(spark: SparkSession, folder: str) -> DataFrame:
+    """The attributes of a listing as lines of text; broken JSON has none."""
+    return table(spark, folder, "raw_listings", "listing_row", "params").select("listing_row", S.params_text(S.params_map(F.col("params"))).alias("lines"))
+
+
+def usable_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the archive that are complete in all features and have a price."""
+    return E.training_rows(table(spark, folder, "clean_listings")).groupBy("condition").agg(F.count("*").alias("n"), F.sum("price").alias("price"))
+
+
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw listings written as CSV and read again: rows, and rows that differ but for the texts that stand for nothing."""
+    rows = table(spark, folder, "raw_listings", *files.RAW_COLUMNS).select(*[F.col(c).cast(f.dataType) for c, f in zip(files.RAW_COLUMNS, files.RAW_SCHEMA, strict=True)])
+    path = work_path(spark, "csv")
+    files.write_csv(rows, path)
+    back = files.read_csv(spark, path, files.RAW_SCHEMA)
+    count = lambda df, name: df.groupBy(F.xxhash64(*[F.coalesce(c, F.lit("\u0000")) for c in files.RAW_COLUMNS]).alias("row")).agg(F.count("*").alias(name))
+    both = count(files.null_tokens(rows), "before").join(count(back, "after"), "row", "full")
+    return both.agg(F.sum("before").alias("rows"), F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("changed"))
+
+
+def streamed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of each kind and day, counted as a stream with a watermark."""
+    schema = table(spark, folder, "events").schema
+    counts = stream_latest_counts(spark, folder, schema, "ts", "event_type", only="events.parquet")
+    name = unused_view(spark, "streamed_counts")
+    counts.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", work_path(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name).select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), F.col("group").alias("event_type"), "rows")
+
+
+def streamed_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Listings that arrive as a stream, appended once for each number; the stream is run twice, and the second run adds nothing."""
+    schema, sink = table(spark, folder, "raw_listings").schema, work_path(spark, "sink")
+    for run in ("first", "second"):
+        stream_append(spark, folder, schema, sink, work_path(spark, run), only="raw_listings.parquet").awaitTermination()
+    stored = spark.read.parquet(sink).where("item_id is not null and item_id != ''")
+    return stored.groupBy("item_id").agg(F.count("*").alias("n"))
+
+
 def _features(spark: SparkSession, folder: str) -> DataFrame:
     return cut_lineage(price_features(table(spark, folder, "clean_listings"), table(spark, folder, "phone_catalog"), "item_id"))
 
@@ -346,7 +394,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         hier_iqr_outliers, group_levels, cheap_vs_group_median, rule_cascade_report, impute_group_median, dedup_cascade, content_fingerprint_dedup, normalize_text, json_params_lookup, url_canonical, html_item_pages, html_search_pages, months_elapsed,
         catalog_lookup, option_membership, catalog_storages, builtin_catalog, resume_append, first_capture, frequent_categories, default_category, value_counts, regression_metrics, fold_metrics, model_selection, delta_classes, prices_read, regions_read,
-        numbers_read, features_of_listings, listing_ages, valuations, model_valuations, attributes_plain, clean_balance, model_check, negated_keyword_flags, junk_reasons, attributes_read, clean_listings_e2e, cleaning_report, monotone_price_model, gbt_price_model, cross_validated_model, isolation_forest,
+        numbers_read, features_of_listings, listing_ages, valuations, model_valuations, attributes_plain, clean_balance, model_check, values_formatted, params_read, usable_rows, csv_round_trip, streamed_counts, streamed_append, negated_keyword_flags, junk_reasons, attributes_read, clean_listings_e2e, cleaning_report, monotone_price_model, gbt_price_model, cross_validated_model, isolation_forest,
     )
     return {f.__name__: f for f in own} | {
         "synthetic_listings": synthetic,

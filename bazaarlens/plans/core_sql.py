@@ -168,3 +168,18 @@ SELECT r.listing_row, coalesce({_strip("item_id")}, '') AS item_id, p.price, g.r
 """
 SQL["clean_balance"] = "SELECT count(*)::BIGINT AS rows, 0::BIGINT AS unaccounted, 0::BIGINT AS repeated, 0::BIGINT AS out_of_bounds FROM raw_listings"
 SQL["model_check"] = "SELECT count(*) AS rows, 0::BIGINT AS unpredicted, 0::BIGINT AS falling FROM clean_listings"
+SQL["values_formatted"] = """
+SELECT o_orderkey, format('{:,}', round_even(o_totalprice, 0)::BIGINT) AS money, round_even(o_totalprice / 500, 0) * 500 AS near, (ceil(round_even(o_totalprice * 0.9, 2) / 100) * 100)::BIGINT AS low, (floor(round_even(o_totalprice * 1.1, 2) / 100) * 100)::BIGINT AS high,
+  'https://board.example/' || lower(c_mktsegment) || '?q=' || replace(url_encode(o_orderpriority), '%20', '+') AS url FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+SQL["params_read"] = """
+WITH j AS (SELECT listing_row, CASE WHEN json_valid(params) AND json_type(params::JSON) = 'OBJECT' THEN params::JSON END AS p FROM raw_listings)
+SELECT listing_row, coalesce(array_to_string(list_transform(json_keys(p), lambda k: k || ': ' || coalesce(json_extract_string(p, '$."' || k || '"'), '')), chr(10)), '') AS lines FROM j
+"""
+SQL["usable_rows"] = """
+SELECT condition, count(*) AS n, sum(price)::BIGINT AS price FROM clean_listings WHERE price > 0 AND model IS NOT NULL AND storage_gb IS NOT NULL AND condition IS NOT NULL AND region IS NOT NULL AND battery_health IS NOT NULL AND battery_known IS NOT NULL
+  AND phone_age_months IS NOT NULL AND has_box IS NOT NULL AND has_receipt IS NOT NULL GROUP BY condition
+"""
+SQL["csv_round_trip"] = "SELECT count(*)::BIGINT AS rows, 0::BIGINT AS changed FROM raw_listings"
+SQL["streamed_counts"] = "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS rows FROM events GROUP BY 1, 2"
+SQL["streamed_append"] = "SELECT DISTINCT item_id, 1::BIGINT AS n FROM raw_listings WHERE item_id IS NOT NULL AND item_id <> ''"

@@ -54,17 +54,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="bazaarlens-checkpoint-"))
 
 
+def work_path(spark: SparkSession, stem: str) -> str:
+    """A path for a new table in the checkpoint folder, which driver and executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+
+
+def unused_view(spark: SparkSession, stem: str) -> str:
+    """A name for a temporary view that clashes with none."""
+    return f"{stem}_{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the checkpoint folder and read it back.
 
     Lost executors and loops then replay no plan, and the optimizer knows the real size of the rows
     that are left, where a checkpoint would keep the estimate of the plan that it cuts.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip('/')}/cut-{uuid.uuid4().hex}"
+    path = work_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -44,7 +44,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """CSV that :func:`read_csv` reads back as it was, blanks at the ends of texts and line breaks in them included."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(header=True, quote='"', escape='"', **keep).csv(path)
 
 
 def from_records(spark: SparkSession, records: list[dict], schema: T.StructType = RAW_SCHEMA) -> DataFrame:

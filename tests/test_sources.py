@@ -21,6 +21,9 @@ def test_csv_round_trip(spark, tmp_path):
     back = {r["item_id"]: r for r in files.read_csv(spark, str(tmp_path / "csv"), files.RAW_SCHEMA).collect()}
     assert back["77001122"]["description"] == 'две\nстроки, "кавычки"' and back["77001122"]["params"] == '{"Модель": "ё"}'
     assert back["2"]["title"] is None and back["2"]["location"] is None
+    odd = [{"item_id": "3", "title": "  blanks \t", "description": "a\r\nb\n", "location": '"', "params": "a,b;c\\"}]
+    files.write_csv(files.from_records(spark, odd), str(tmp_path / "odd"))
+    assert {k: v for k, v in files.read_csv(spark, str(tmp_path / "odd"), files.RAW_SCHEMA).first().asDict().items() if v is not None} == odd[0]
     (tmp_path / "few.csv").write_text("title,item_id\nx,7\n")
     assert files.read_csv(spark, str(tmp_path / "few.csv"), files.RAW_SCHEMA).first()["item_id"] == "7"
     assert [r[0] for r in files.known_ids(spark, str(tmp_path / "csv")).orderBy("item_id").collect()] == ["2", "77001122"]
