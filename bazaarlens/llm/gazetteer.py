@@ -22,9 +22,11 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import islice, takewhile
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -176,6 +178,10 @@ class Matcher:
             del surfaces[form]
         self.surfaces = sorted((form, next(iter(keys))) for form, keys in surfaces.items())
         self.own = set(self.names.values())
+        self.sorted_names = sorted((n, k) for k, n in self.names.items())
+        self.by_letter: dict[str, list[tuple[int, str]]] = defaultdict(list)
+        for n, k in self.sorted_names:
+            self.by_letter[n[:1]].append((k, n))
         df = Counter(g for form, _ in self.surfaces for g in grams(form))
         self.idf = {g: math.log(1 + len(self.surfaces) / n) for g, n in df.items()}
         self.unknown = math.log(1 + len(self.surfaces)) if self.surfaces else 1.0
@@ -247,9 +253,12 @@ class Matcher:
         """Entry that a cut or contracted spelling ("сарат", "мах ла", "н новгород") fits alone, or 0."""
         if " " in text:
             head, tail = text.split(" ", 1)
-            fits = {k for k, n in self.names.items() if n.startswith(head) and n.endswith(tail) and len(head) + len(tail) >= 3 and len(n) > len(head) + len(tail) and " область" not in n}
+            fits = {k for k, n in self.by_letter[head[:1]] if n.startswith(head) and n.endswith(tail) and len(head) + len(tail) >= 3 and len(n) > len(head) + len(tail) and " область" not in n}
+        elif len(text) >= 4:
+            first = bisect_left(self.sorted_names, (text,))  # names that begin with the text follow each other
+            fits = {k for n, k in takewhile(lambda x: x[0].startswith(text), islice(self.sorted_names, first, None)) if len(n) > len(text)}
         else:
-            fits = {k for k, n in self.names.items() if len(text) >= 4 and n.startswith(text) and len(n) > len(text)}
+            fits = set()
         return fits.pop() if len(fits) == 1 else 0
 
     def typed(self, value: str) -> int:
