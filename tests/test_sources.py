@@ -166,3 +166,13 @@ def test_commands(spark, tmp_path, capsys):
     assert main(["evaluate", at("bundle"), "--phone", "iPhone 13", "--storage", "64", "--condition", "new", "--price", "70 тыс", "--json"], spark) == 2
     assert '"error":"storage_not_offered"' in capsys.readouterr().out
     assert main(["evaluate", at("nothing")], spark) == 1
+
+
+def test_entry_without_what_the_subpackage_needs(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    monkeypatch.setitem(sys.modules, "bazaarlens.llm.queries", None)  # as where a library that it imports is absent
+    found, sql = entry.queries(), entry.oracle_sql()
+    assert "p4_found" in found and "p1_price_percentiles" not in found and set(sql) <= set(found)
