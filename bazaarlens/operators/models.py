@@ -20,7 +20,9 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +49,10 @@ class LogLinear:
         columns = [np.ones(len(pdf))]
         for c in CATEGORICAL:
             if c in self.vocabularies:
-                columns += [(pdf[c] == v).to_numpy(float) for v in self.vocabularies[c]]
+                codes = pd.Categorical(pdf[c], categories=self.vocabularies[c]).codes
+                hot = np.zeros((len(pdf), len(self.vocabularies[c])))
+                hot[np.flatnonzero(codes >= 0), codes[codes >= 0]] = 1.0
+                columns.append(hot)
         columns += [pdf[c].to_numpy(float) / 100.0 for c in NUMERIC]
         return np.column_stack(columns)
 
@@ -66,12 +71,13 @@ class LogLinear:
             for pdf in batches:
                 x, y = shared.value.design(pdf), np.log(pdf[target].to_numpy(float))
                 total += x.T @ np.column_stack([x, y])
-            yield pd.DataFrame({"i": np.repeat(np.arange(width), width + 1), "j": np.tile(np.arange(width + 1), width), "v": total.ravel()})
+            yield pd.DataFrame({"i": np.arange(width), "row": list(total)})
 
-        cells = rows.select(*CATEGORICAL, *NUMERIC, target).mapInPandas(moments, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+        # one vector for each row of the equations, summed by partial aggregates
+        sums = rows.select(*CATEGORICAL, *NUMERIC, target).mapInPandas(moments, "i int, row array<double>").groupBy("i").agg(Summarizer.sum(array_to_vector("row")).alias("row"))
         total = np.zeros((width, width + 1))
-        for r in cells:
-            total[r["i"], r["j"]] = r["v"]
+        for r in sums.collect():  # as many rows as features
+            total[r["i"]] = r["row"].toArray()
         signs = np.zeros(width)
         for k, c in enumerate(NUMERIC):
             signs[width - len(NUMERIC) + k] = self.directions.get(c, 0)

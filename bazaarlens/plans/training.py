@@ -18,12 +18,13 @@ def complete_listings(rows: DataFrame, models: DataFrame) -> DataFrame:
 
     The model and the storage of a row without them are read from its title; what is still open is
     ``OTHER`` or the most frequent storage of the model; a battery that was not observed is the median
-    of its release year (new devices: 100), an unknown age the median of its year; extras count as absent.
+    of its release year (new devices: 100), an unknown age the median of its year; regions get their
+    usual names; extras count as absent.
     """
     c = F.col
     model = F.coalesce(F.nullif(S.strip(c("model")), F.lit("")), X.model_name(c("title"), names()), F.lit(OTHER))
     storage = F.coalesce(c("storage_gb"), X.storage_gb(c("title"), True).cast("bigint"))
-    rows = cut_lineage(rows.withColumns({"model": model, "storage_gb": storage}))  # read four times below
+    rows = cut_lineage(rows.withColumns({"model": model, "storage_gb": storage, "region": X.region(c("region"))}))  # read four times below
     rows = with_model(rows, models)
     rows = rows.withColumns({"release_year": F.year("release_date"), "condition": F.coalesce("condition", F.lit("used"))})
     usual = rows.where("storage_gb is not null").groupBy("model").agg(F.mode("storage_gb", True).alias("_usual"))

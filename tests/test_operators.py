@@ -289,7 +289,7 @@ def test_completed_listings_have_no_gap(spark):
     from bazaarlens.plans.training import complete_listings
 
     rows = [("a", "iPhone 13", 128, "used", 80, 1, 9, "2026-01-01", 1, 0, "x"), ("b", None, None, None, None, None, None, "20260101T000000Z", None, None, "iPhone 13 на 256"), ("c", None, None, "new", 7, 1, None, None, 9, None, "стол"), ("d", "iPhone 13", None, "used", 90, 0, None, "?", 0, 1, None)]
-    df = spark.createDataFrame(rows, "item_id string, model string, storage_gb long, condition string, battery_health long, battery_known long, phone_age_months int, scraped_at string, has_box long, has_receipt long, title string")
+    df = spark.createDataFrame(rows, "item_id string, model string, storage_gb long, condition string, battery_health long, battery_known long, phone_age_months int, scraped_at string, has_box long, has_receipt long, title string").withColumn("region", F.lit("мск"))
     got = {r["item_id"]: r for r in complete_listings(df, catalog(spark)).collect()}
     seen = [tuple(got[i][c] for c in ("model", "storage_gb", "condition", "battery_health", "battery_known", "phone_age_months", "has_box", "has_receipt")) for i in "abcd"]
     assert seen == [("iPhone 13", 128, "used", 80, 1, 9, 1, 0), ("iPhone 13", 256, "used", 80, 0, 51, 0, 0), ("__other__", 128, "new", 100, 0, 30, 0, 0), ("iPhone 13", 128, "used", 80, 0, 30, 0, 1)]
