@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaarlens.session import cut_lineage
+
 #: Fewest rows for which a forest is grown.
 LEAST_ROWS = 50
 
@@ -45,22 +47,27 @@ def grow_forest(sample: np.ndarray, trees: int = 200, size: int = 256, seed: int
     return forest
 
 
+def _unrolled(tree: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A tree as arrays (feature, cut, left, right, path length, steps) in which a leaf leads to itself, so that all rows take the same number of steps."""
+    leaf = tree[:, 0] < 0
+    itself = np.arange(len(tree))
+    left, right = np.where(leaf, itself, tree[:, 2]).astype(np.intp), np.where(leaf, itself, tree[:, 3]).astype(np.intp)
+    depth = np.zeros(len(tree))
+    for node in itself[~leaf]:  # parents stand before their children
+        depth[left[node]] = depth[right[node]] = depth[node] + 1
+    return np.where(leaf, 0, tree[:, 0]).astype(np.intp), np.where(leaf, np.inf, tree[:, 1]), left, right, depth + tree[:, 4], int(depth.max())
+
+
 def score_rows(rows: np.ndarray, forest: list[np.ndarray], size: int) -> np.ndarray:
     """Anomaly score of each row, near 1 for lonely ones."""
-    total = np.zeros(len(rows))
+    total, flat = np.zeros(len(rows)), np.ascontiguousarray(rows).ravel()
+    first = np.arange(len(rows)) * rows.shape[1]
     for tree in forest:
-        at, depth, going = np.zeros(len(rows), int), np.zeros(len(rows)), np.ones(len(rows), bool)
-        while going.any():
-            node = tree[at[going]]
-            leaf = node[:, 0] < 0
-            where = np.flatnonzero(going)
-            depth[where[leaf]] += node[leaf, 4]
-            inner = where[~leaf]
-            left = rows[inner, node[~leaf, 0].astype(int)] < node[~leaf, 1]
-            at[inner] = np.where(left, node[~leaf, 2], node[~leaf, 3]).astype(int)
-            depth[inner] += 1
-            going[where[leaf]] = False
-        total += depth
+        feature, cut, left, right, path, steps = _unrolled(tree)
+        at = np.zeros(len(rows), np.intp)
+        for _ in range(steps):
+            at = np.where(flat[first + feature[at]] < cut[at], left[at], right[at])
+        total += path[at]
     return 2.0 ** (-total / len(forest) / max(_mean_path(size), 1e-9))
 
 
@@ -85,7 +92,8 @@ def isolation_scores(df: DataFrame, features: Sequence[str], ident: str, trees:
 
 def isolation_outliers(df: DataFrame, features: Sequence[str], ident: str, contamination: float = 0.02, **settings: int) -> DataFrame:
     """``df`` with anomaly_score and is_outlier: about the contamination share of rows; none under 50 rows."""
-    scored = isolation_scores(df, features, ident, **settings)
+    # read for the draw and the scores, and the scores for the cut and the result
+    scored = cut_lineage(isolation_scores(cut_lineage(df), features, ident, **settings))
     if scored.limit(LEAST_ROWS).count() < LEAST_ROWS:
         return scored.withColumn("is_outlier", F.lit(False))
     cut = scored.agg(F.percentile_approx("anomaly_score", 1 - contamination, 100_000)).first()[0]
