@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import platform
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from importlib import metadata
@@ -20,9 +21,7 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,18 +42,55 @@ class LogLinear:
     directions: dict[str, int] = field(default_factory=lambda: dict(DIRECTIONS))
     name: str = "monotone_log_linear"
     #: Most values of one category; beyond that the fit raises, as the normal equations grow with their square.
-    most_values: int = 10_000
+    most_values: int = 5_000
 
-    def design(self, pdf: pd.DataFrame) -> np.ndarray:
-        columns = [np.ones(len(pdf))]
+    def codes(self, pdf: pd.DataFrame) -> dict[str, np.ndarray]:
+        """Place of each row's value in each vocabulary, -1 for values outside it."""
+        return {c: np.asarray(pd.Categorical(pdf[c], categories=self.vocabularies[c]).codes, dtype=np.int64) for c in CATEGORICAL if c in self.vocabularies}
+
+    def numbers(self, pdf: pd.DataFrame) -> np.ndarray:
+        return np.column_stack([pdf[c].to_numpy(float) / 100.0 for c in NUMERIC])
+
+    def starts(self) -> dict[str, int]:
+        """First weight of each vocabulary; weight 0 is the constant, the numbers come last."""
+        found, at = {}, 1
         for c in CATEGORICAL:
             if c in self.vocabularies:
-                codes = pd.Categorical(pdf[c], categories=self.vocabularies[c]).codes
-                hot = np.zeros((len(pdf), len(self.vocabularies[c])))
-                hot[np.flatnonzero(codes >= 0), codes[codes >= 0]] = 1.0
-                columns.append(hot)
-        columns += [pdf[c].to_numpy(float) / 100.0 for c in NUMERIC]
-        return np.column_stack(columns)
+                found[c], at = at, at + len(self.vocabularies[c])
+        return found
+
+    def logs(self, pdf: pd.DataFrame) -> np.ndarray:
+        """Predicted logarithms."""
+        w = np.asarray(self.weights)
+        total = w[0] + self.numbers(pdf) @ w[len(w) - len(NUMERIC) :]
+        for c, code in self.codes(pdf).items():
+            block = np.append(w[self.starts()[c] : self.starts()[c] + len(self.vocabularies[c])], 0.0)  # -1 is the last: no weight
+            total += block[code]
+        return total
+
+    def equations(self, pdf: pd.DataFrame, y: np.ndarray) -> dict[tuple[int, int], float]:
+        """Cells (i <= j) of the normal equations of some rows that are not zero; column ``width`` is the target.
+
+        Indicators are counted by code, so the cost grows with the rows, not with the square of the vocabularies.
+        """
+        width = 1 + sum(map(len, self.vocabularies.values())) + len(NUMERIC)
+        dense = np.column_stack([np.ones(len(pdf)), self.numbers(pdf), y])
+        places = [0, *range(width - len(NUMERIC), width), width]
+        cells = {(places[i], places[j]): float(v) for (i, j), v in np.ndenumerate(dense.T @ dense) if i <= j}
+        codes, starts = self.codes(pdf), self.starts()
+        for c, code in codes.items():
+            known = code >= 0
+            for place, column in zip(places, dense.T, strict=True):
+                sums = np.bincount(code[known], weights=column[known], minlength=len(self.vocabularies[c]))
+                cells.update({(min(starts[c] + k, place), max(starts[c] + k, place)): float(sums[k]) for k in np.flatnonzero(sums)})
+            counts = np.bincount(code[known])
+            cells.update({(starts[c] + k, starts[c] + k): float(counts[k]) for k in np.flatnonzero(counts)})
+            for d, other in codes.items():
+                if starts[d] > starts[c]:
+                    both = known & (other >= 0)
+                    pairs, n = np.unique(code[both] * len(self.vocabularies[d]) + other[both], return_counts=True)
+                    cells.update({(starts[c] + int(q) // len(self.vocabularies[d]), starts[d] + int(q) % len(self.vocabularies[d])): float(k) for q, k in zip(pairs, n, strict=True)})
+        return cells
 
     def fit(self, rows: DataFrame, target: str = "price", ridge: float = 1e-3, least: int = 10) -> LogLinear:
         # a model's tier and a storage's label say nothing beyond model and number, and would blur the constraints
@@ -67,17 +103,17 @@ class LogLinear:
         width = 1 + sum(map(len, self.vocabularies.values())) + len(NUMERIC)
 
         def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros((width, width + 1))
+            total: Counter = Counter()
             for pdf in batches:
-                x, y = shared.value.design(pdf), np.log(pdf[target].to_numpy(float))
-                total += x.T @ np.column_stack([x, y])
-            yield pd.DataFrame({"i": np.arange(width), "row": list(total)})
-
-        # one vector for each row of the equations, summed by partial aggregates
-        sums = rows.select(*CATEGORICAL, *NUMERIC, target).mapInPandas(moments, "i int, row array<double>").groupBy("i").agg(Summarizer.sum(array_to_vector("row")).alias("row"))
-        total = np.zeros((width, width + 1))
-        for r in sums.collect():  # as many rows as features
-            total[r["i"]] = r["row"].toArray()
+                total.update(shared.value.equations(pdf, np.log(pdf[target].to_numpy(float))))
+            yield pd.DataFrame([(int(i), int(j), v) for (i, j), v in total.items()], columns=["i", "j", "v"])
+
+        # the cells that are not zero: at most the pairs of values that occur together
+        cells = rows.select(*CATEGORICAL, *NUMERIC, target).mapInPandas(moments, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toPandas()
+        total = np.zeros((width + 1, width + 1))
+        total[cells["i"], cells["j"]] = cells["v"]
+        total[cells["j"], cells["i"]] = cells["v"]
+        total = total[:width]
         signs = np.zeros(width)
         for k, c in enumerate(NUMERIC):
             signs[width - len(NUMERIC) + k] = self.directions.get(c, 0)
@@ -89,7 +125,7 @@ class LogLinear:
 
         @F.pandas_udf(T.DoubleType())
         def run(features: pd.DataFrame) -> pd.Series:
-            return pd.Series(np.exp(shared.value.design(features) @ np.asarray(shared.value.weights)))
+            return pd.Series(np.exp(shared.value.logs(features)))
 
         return rows.withColumn(out, run(F.struct(*CATEGORICAL, *NUMERIC)))
 
@@ -108,19 +144,25 @@ class LogLinear:
 def _constrained(a: np.ndarray, b: np.ndarray, signs: np.ndarray) -> np.ndarray:
     """Minimum of x'ax/2 - b'x with x >= 0 where the sign is 1 and x <= 0 where it is -1.
 
-    Some of the few constrained entries are zero in the minimum: every choice of them is solved, and
-    of the solutions that keep the signs the least one is taken, so the result is exact.
+    The free entries are expressed by the few constrained ones, in one solution of their equations. Of
+    the constrained ones some are zero in the minimum: every choice of them is tried, and of the
+    solutions that keep the signs the least one is taken, so the result is exact.
     """
-    bound = np.flatnonzero(signs)
-    best, least = np.zeros(len(b)), np.inf
-    for zeros in chain.from_iterable(combinations(bound, k) for k in range(len(bound) + 1)):
-        x = np.zeros(len(b))
-        free = np.setdiff1d(np.arange(len(b)), zeros)
-        x[free] = np.linalg.solve(a[np.ix_(free, free)], b[free])
-        value = x @ a @ x / 2 - b @ x
-        if value < least and np.all(signs[bound] * x[bound] >= 0):
+    bound, free = np.flatnonzero(signs), np.flatnonzero(signs == 0)
+    cross = a[np.ix_(free, bound)]
+    solved = np.linalg.solve(a[np.ix_(free, free)], np.column_stack([b[free], cross]))
+    base, slope = solved[:, 0], solved[:, 1:]
+    small, right = a[np.ix_(bound, bound)] - cross.T @ slope, b[bound] - cross.T @ base
+    best, least = np.zeros(len(bound)), np.inf
+    for zeros in chain.from_iterable(combinations(range(len(bound)), k) for k in range(len(bound) + 1)):
+        x, rest = np.zeros(len(bound)), np.setdiff1d(np.arange(len(bound)), zeros)
+        x[rest] = np.linalg.solve(small[np.ix_(rest, rest)], right[rest])
+        value = x @ small @ x / 2 - right @ x
+        if value < least and np.all(signs[bound] * x >= 0):
             best, least = x, value
-    return best
+    out = np.zeros(len(b))
+    out[bound], out[free] = best, base - slope @ best
+    return out
 
 
 class BoostedTrees:
